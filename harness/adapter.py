@@ -6,6 +6,9 @@ so a second engine computes the same ones. ``oracle.py`` states the same rules i
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sabermill.schemas import raw_schema
@@ -357,5 +360,27 @@ RAW_TABLES = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: make(spark, sf_dir) for name, make in RAW_TABLES.items()}
+@lru_cache(maxsize=64)
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A plan over the given tables, kept per session; nothing is computed or stored."""
+    return RAW_TABLES[name](spark, sf_dir)
+
+
+class RawTables(Mapping):
+    """The raw tables by name, each planned when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return raw_table(self.spark, self.sf_dir, name)
+
+    def __iter__(self):
+        return iter(RAW_TABLES)
+
+    def __len__(self) -> int:
+        return len(RAW_TABLES)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(spark, sf_dir)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ class Warehouse:
 
     def __init__(
         self,
-        raw: dict[str, DataFrame],
+        raw: Mapping[str, DataFrame],
         min_batted_balls: int = marts.MIN_BATTED_BALLS,
         written: dict[str, DataFrame] | None = None,
     ):
@@ -138,7 +139,7 @@ class Warehouse:
 
 
 def build(
-    spark: SparkSession, raw: dict[str, DataFrame], folder: str, **options
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, **options
 ) -> "Warehouse":
     """Write the intermediate models and then the marts, each from the tables before it."""
     warehouse = Warehouse(raw, **options)

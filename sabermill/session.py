@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Call sites in error messages cost several driver round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
