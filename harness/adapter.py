@@ -7,9 +7,11 @@ so a second engine computes the same ones. ``oracle.py`` states the same rules i
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from sabermill.schemas import raw_schema
 
@@ -34,11 +36,11 @@ def div(a: Column, b: int) -> Column:
 
 
 def tenths(value: Column) -> Column:
-    return (value.cast("decimal(20,0)") / F.lit(10).cast("decimal(2,0)")).cast("decimal(20,1)")
+    return value.cast("decimal(15,0)") * F.lit(Decimal("0.1"))
 
 
 def thousandths(value: Column) -> Column:
-    return (value.cast("decimal(20,0)") / F.lit(1000).cast("decimal(4,0)")).cast("decimal(20,3)")
+    return value.cast("decimal(13,0)") * F.lit(Decimal("0.001"))
 
 
 def ratio(num: Column, den: Column, places: int, guard: Column | None = None) -> Column:
@@ -48,28 +50,22 @@ def ratio(num: Column, den: Column, places: int, guard: Column | None = None) ->
 
 
 def teams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
-    nation = table(spark, sf_dir, "nation")
-    region = table(spark, sf_dir, "region")
     key, nat = F.col("s_suppkey"), F.col("s_nationkey")
     slot = nat % 6
-    located = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "left").join(
-        region, nation.n_regionkey == region.r_regionkey, "left"
-    )
     division = F.element_at(F.array(*[F.lit(d) for d in DIVISIONS]), slot + 1)
-    return located.select(
+    return table(spark, sf_dir, "supplier").select(
         key.alias("team_id"),
         F.col("s_name").alias("name"),
         F.concat(F.lit("c"), key.cast("string")).alias("team_code"),
         F.concat(F.lit("T"), key.cast("string")).alias("abbreviation"),
         F.concat(F.lit("Team "), key.cast("string")).alias("team_name"),
-        F.col("n_name").alias("location_name"),
+        F.concat(F.lit("NATION_"), nat.cast("string")).alias("location_name"),
         (F.lit(103) + div(slot, 3)).alias("league_id"),
         F.when(slot < 3, "American League").otherwise("National League").alias("league_name"),
         F.when(nat != 24, slot + 200).alias("division_id"),
         F.when(nat != 24, division).alias("division_name"),
         key.alias("venue_id"),
-        F.col("r_name").alias("venue_name"),
+        F.concat(F.lit("Park "), key.cast("string")).alias("venue_name"),
         F.lit(1).alias("sport_id"),
         (F.col("s_acctbal") >= 0).alias("active"),
         F.when(key % 50 == 7, "n/a")
@@ -123,7 +119,7 @@ def _fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("season"),
         F.to_date("o_orderdate").alias("game_date"),
         F.col("o_orderdate").cast("timestamp").alias("game_datetime"),
-        F.when(status == "F", "F").when(status == "P", "FT").otherwise("S").alias("status_code"),
+        status.alias("status_code"),
         F.when(status == "F", "Final")
         .when(status == "P", "Completed Early")
         .otherwise("Scheduled")
@@ -140,7 +136,7 @@ def _fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, price = F.col("game_pk"), F.col("price")
-    scored = (F.col("status_code") != "S") & (key % 97 != 0)
+    scored = (F.col("status_code") != "O") & (key % 97 != 0)
     return _fixture(spark, sf_dir).select(
         "game_pk", "game_type", "season", "game_date", "game_datetime", "status_code",
         "status_detail", "home_team_id", "away_team_id",
@@ -155,7 +151,7 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("custkey").alias("winning_pitcher_id"),
         div(key, 10).alias("losing_pitcher_id"),
         F.when(key % 3 == 0, div(F.col("custkey"), 2)).alias("save_pitcher_id"),
-        F.when(F.col("status_code") != "S", F.when(key % 5 == 0, key % 4 + 9).otherwise(9))
+        F.when(F.col("status_code") != "O", F.when(key % 5 == 0, key % 4 + 9).otherwise(9))
         .alias("innings"),
         "day_night", "series_description", "series_game_number", "double_header", "loaded_at",
     )
@@ -303,6 +299,11 @@ def pitching_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _typed(value: Column, kind: T.DataType) -> Column:
+    """Measurements in their stored decimal types; whole numbers stay as wide as they come."""
+    return value if isinstance(kind, T.IntegralType) else value.cast(kind)
+
+
 def statcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pitch per line item; fouls have a speed but no play result, other misses neither."""
     q, n = F.col("q"), F.col("n")
@@ -343,7 +344,7 @@ def statcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return _lines(spark, sf_dir).select(
         *[
-            known.get(field.name, F.lit(None).cast(field.dataType)).alias(field.name)
+            _typed(known.get(field.name, F.lit(None)), field.dataType).alias(field.name)
             for field in raw_schema("statcast")
         ]
     )

@@ -70,17 +70,16 @@ PARTS = {
     "raw_teams": f"""
     SELECT s_suppkey AS team_id, s_name AS name, 'c' || s_suppkey AS team_code,
       'T' || s_suppkey AS abbreviation, 'Team ' || s_suppkey AS team_name,
-      n_name AS location_name, 103 + s_nationkey % 6 // 3 AS league_id,
+      'NATION_' || s_nationkey AS location_name, 103 + s_nationkey % 6 // 3 AS league_id,
       CASE WHEN s_nationkey % 6 < 3 THEN 'American League' ELSE 'National League' END
         AS league_name,
       CASE WHEN s_nationkey <> 24 THEN 200 + s_nationkey % 6 END AS division_id,
       CASE WHEN s_nationkey <> 24 THEN CASE s_nationkey % 6 {_DIVISION_CASE} END END
         AS division_name,
-      s_suppkey AS venue_id, r_name AS venue_name, 1 AS sport_id, s_acctbal >= 0 AS active,
+      s_suppkey AS venue_id, 'Park ' || s_suppkey AS venue_name, 1 AS sport_id, s_acctbal >= 0 AS active,
       CASE WHEN s_suppkey % 50 = 7 THEN 'n/a'
         ELSE CAST(1900 + s_suppkey % 100 AS VARCHAR) END AS first_year_of_play
-    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
-      LEFT JOIN region ON n_regionkey = r_regionkey""",
+    FROM supplier""",
     "raw_players": """
     SELECT c_custkey AS player_id, c_name AS full_name, split_part(c_name, '#', 1) AS first_name,
       split_part(c_name, '#', 2) AS last_name, CAST(c_custkey % 100 AS VARCHAR) AS primary_number,
@@ -106,7 +105,7 @@ PARTS = {
         CASE WHEN o_orderpriority = '1-URGENT' THEN 'P' ELSE 'R' END AS game_type,
         year(o_orderdate) AS season, CAST(o_orderdate AS DATE) AS game_date,
         o_orderdate AS game_datetime,
-        CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'P' THEN 'FT' ELSE 'S' END AS status_code,
+        o_orderstatus AS status_code,
         CASE o_orderstatus WHEN 'F' THEN 'Final' WHEN 'P' THEN 'Completed Early'
           ELSE 'Scheduled' END AS status_detail,
         o_custkey // 15 AS home_team_id, o_orderkey // 150 AS away_guess,
@@ -116,13 +115,13 @@ PARTS = {
         CASE WHEN o_orderkey % 20 = 0 THEN 'Y' ELSE 'N' END AS double_header
       FROM orders)""",
     "raw_games": """
-    SELECT *, CASE WHEN status_code <> 'S' AND game_pk % 97 <> 0 THEN price % 13 END AS home_score,
-      CASE WHEN status_code <> 'S' AND game_pk % 97 <> 0 THEN price // 13 % 13 END AS away_score,
+    SELECT *, CASE WHEN status_code <> 'O' AND game_pk % 97 <> 0 THEN price % 13 END AS home_score,
+      CASE WHEN status_code <> 'O' AND game_pk % 97 <> 0 THEN price // 13 % 13 END AS away_score,
       game_pk % 90 AS home_wins, game_pk % 70 AS home_losses, price % 90 AS away_wins,
       price % 70 AS away_losses, home_team_id AS venue_id, 'Park ' || home_team_id AS venue_name,
       custkey AS winning_pitcher_id, game_pk // 10 AS losing_pitcher_id,
       CASE WHEN game_pk % 3 = 0 THEN custkey // 2 END AS save_pitcher_id,
-      CASE WHEN status_code = 'S' THEN NULL WHEN game_pk % 5 = 0 THEN 9 + game_pk % 4 ELSE 9 END
+      CASE WHEN status_code = 'O' THEN NULL WHEN game_pk % 5 = 0 THEN 9 + game_pk % 4 ELSE 9 END
         AS innings
     FROM fixture""",
     "raw_schedule": """

@@ -79,6 +79,12 @@ def rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _landed_status() -> Column:
+    """Played orders land with one of two final codes, open ones as scheduled."""
+    code = F.col("status_code")
+    return F.when(code == "F", "F").when(code == "P", "FT").otherwise("S")
+
+
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two dates per order: one with the game, one with no games."""
     key = F.col("game_pk")
@@ -101,7 +107,7 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
         gameType=F.col("game_type"),
         season=F.col("season").cast("string"),
         gameDate=F.date_format("game_datetime", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        status=_struct(statusCode=F.col("status_code"), detailedState=F.col("status_detail")),
+        status=_struct(statusCode=_landed_status(), detailedState=F.col("status_detail")),
         teams=_struct(home=side("home"), away=side("away")),
         venue=_struct(id=F.col("venue_id"), name=F.col("venue_name")),
         linescore=_struct(innings=listed),

@@ -494,14 +494,15 @@ add("S2_flatten_players", landed_players,
         THEN s.roster_team_id ELSE player_id // 15 END AS current_team_id)
     FROM raw_players AS p LEFT JOIN ({_SPOTS_SQL}) AS s USING (player_id)""")
 add("S3_first_roster_spot", roster_spots, "player_id:i roster_team_id:i", _SPOTS_SQL)
+_LANDED_STATUS = "CASE status_code WHEN 'F' THEN 'F' WHEN 'P' THEN 'FT' ELSE 'S' END"
 add("S4_flatten_schedule",
     landed("schedule", landing.SCHEDULE_PAYLOAD, landing.flatten_schedule),
     """game_pk:i game_date:t game_type:s season:i status_code:s status_detail:s home_team_id:i
     home_team_name:s away_team_id:i away_team_name:s venue_id:i venue_name:s day_night:s
     series_description:s series_game_number:i games_in_series:i double_header:s
     scheduled_innings:i""",
-    """SELECT * REPLACE (CASE WHEN game_pk % 3 = 0 THEN 7 ELSE 9 END AS scheduled_innings)
-    FROM raw_schedule""")
+    f"""SELECT * REPLACE (CASE WHEN game_pk % 3 = 0 THEN 7 ELSE 9 END AS scheduled_innings,
+    {_LANDED_STATUS} AS status_code) FROM raw_schedule""")
 _INNINGS_SQL = """CASE WHEN game_pk % 2 = 0 THEN coalesce(innings, 9)
     WHEN game_pk % 3 = 0 THEN 7 END"""
 add("S5_flatten_games", landed("schedule", landing.SCHEDULE_PAYLOAD, landing.flatten_games),
@@ -510,12 +511,12 @@ add("S5_flatten_games", landed("schedule", landing.SCHEDULE_PAYLOAD, landing.fla
     away_losses:i venue_id:i venue_name:s winning_pitcher_id:i losing_pitcher_id:i
     save_pitcher_id:i innings:i day_night:s series_description:s series_game_number:i
     double_header:s""",
-    f"""SELECT * REPLACE ({_INNINGS_SQL} AS innings) FROM raw_games
-    WHERE status_code IN ('F', 'FT', 'FR', 'FO')""")
+    f"""SELECT * REPLACE ({_INNINGS_SQL} AS innings, {_LANDED_STATUS} AS status_code)
+    FROM raw_games WHERE {_LANDED_STATUS} IN ('F', 'FT', 'FR', 'FO')""")
 add("S6_innings_played", landed("schedule", landing.SCHEDULE_PAYLOAD, landing.flatten_games),
     "game_pk:i innings:i",
     f"""SELECT game_pk, {_INNINGS_SQL} AS innings FROM raw_games
-    WHERE status_code IN ('F', 'FT', 'FR', 'FO')""")
+    WHERE {_LANDED_STATUS} IN ('F', 'FT', 'FR', 'FO')""")
 add("S7_pick_stat_group",
     landed("hitting", landing.HITTING_PAYLOAD, lambda d: d.select(
         "season", F.size(landing.stat_splits("hitting")).alias("splits"))

@@ -86,8 +86,12 @@ def read_payloads(
 
 
 def parse_payloads(texts: DataFrame, column: str, schema: str) -> DataFrame:
-    """Payloads that lie in a text column."""
-    return texts.select(F.from_json(column, schema).alias("_doc")).select("_doc.*")
+    """Payloads that lie in a text column.
+
+    Unpacked by a generator, so each text is parsed once; a projection would be inlined into
+    every later use of a field and parse again there.
+    """
+    return texts.select(F.inline(F.array(F.from_json(column, schema))))
 
 
 def _select(df: DataFrame, table: str, columns: dict[str, Column]) -> DataFrame:

@@ -55,8 +55,9 @@ def _has_key() -> Column:
 def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of the batch whose pitch is not stored yet, one per pitch.
 
-    Pitches without a full natural key cannot be compared and pass through. Only the key columns
-    of the store are read.
+    Repeats combine before the shuffle, and the join with the store keeps that partitioning, so
+    whole rows move once. Pitches without a full natural key cannot be compared and bypass both.
+    Only the key columns of the store are read.
     """
     tie_break = [F.col(c) for c in ("game_date", "batter", "pitcher", "id")]
     once = first_per_key(batch.where(_has_key()), PITCH_KEY, tie_break)
