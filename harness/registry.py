@@ -610,12 +610,13 @@ def games_per_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks over the span of the schedule and how many games fall in each."""
     games = adapter.raw_table(spark, sf_dir, "schedule")
     span = games.agg(F.min("game_date").alias("start"), F.max("game_date").alias("end"))
-    start = span.select("start")
-    counted = _counted(games, "game_date").crossJoin(start).select(
-        chunks.chunk_of(F.col("game_date"), F.col("start")).alias("chunk_id"), "n"
-    )
-    per_chunk = counted.groupBy("chunk_id").agg(F.sum("n").alias("games"))
-    return chunks.date_chunks(span).join(per_chunk, "chunk_id", "left").fillna(0, ["games"])
+    per_day = _counted(games, "game_date").withColumnRenamed("game_date", "day")
+    return (
+        chunks.days_of(chunks.date_chunks(span))
+        .join(per_day, "day", "left")
+        .groupBy("chunk_id", "chunk_start", "chunk_end")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("games"))
+    )
 
 
 add("S15_date_chunks", games_per_chunk, "chunk_id:i chunk_start:t chunk_end:t games:i",

@@ -30,3 +30,9 @@ def chunks_between(
 def chunk_of(day: Column, start: Column, chunk_days: int = CHUNK_DAYS) -> Column:
     """The chunk a day falls in, by arithmetic, so tagging rows needs no join."""
     return F.floor(F.date_diff(day, start) / chunk_days).cast("int")
+
+
+def days_of(chunks: DataFrame) -> DataFrame:
+    """Each chunk once per day it holds, so rows meet their chunk in an equality join."""
+    days = F.explode(F.sequence("chunk_start", "chunk_end", F.make_dt_interval(F.lit(1))))
+    return chunks.select("*", days.alias("day"))
