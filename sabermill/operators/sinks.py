@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Add rows; a rerun adds them again, as a plain insert does."""
-    writer = df.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    """Add rows; a rerun adds them again, as a plain insert does.
+
+    Rows are rebalanced by the partition column, so each partition gets few well-sized files;
+    adaptive execution splits a partition that holds much of the data over many tasks.
+    """
+    if partition_by is None:
+        df.write.mode("append").parquet(path)
+        return
+    balanced = df.hint("rebalance", partition_by)
+    balanced.write.mode("append").partitionBy(partition_by).parquet(path)
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +32,11 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sabermill-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -41,9 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {SHARED_FOLDER_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sabermill-")
-    spark.conf.set(SHARED_FOLDER_SETTING, folder)
-    return folder
+    return _local_folder()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

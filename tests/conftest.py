@@ -5,11 +5,11 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from sabermill.session import SHARED_FOLDER_SETTING, build_session  # noqa: E402
+from sabermill.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(
         "tests",
         "local[4]",
@@ -20,8 +20,6 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
         },
     )
-    if not session.conf.get(SHARED_FOLDER_SETTING, None):
-        session.conf.set(SHARED_FOLDER_SETTING, str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 
