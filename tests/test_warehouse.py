@@ -1,10 +1,11 @@
 import os
+from collections import Counter
 from types import SimpleNamespace
 
 import pytest
 
 from harness import adapter
-from sabermill.plans import boards
+from sabermill.plans import boards, suite
 from sabermill.plans.warehouse import INTERMEDIATE, MARTS, Warehouse, build
 from sabermill.session import fresh_path, settle, shared_folder
 
@@ -19,6 +20,14 @@ def test_written_models_equal_lazy_ones(spark, rows):
     for name in ("int_statcast_metrics", "fct_pitching_performance", "fct_team_season_summary"):
         assert rows(written.model(name)) == rows(lazy.model(name).select(*written.model(name).columns))
     assert all("parquet" in str(written.model(n).inputFiles()) for n in [*INTERMEDIATE, *MARTS])
+    verdicts = suite.every_check(written).collect()
+    declared = {(v["check"], v.table_name, v.column_name) for v in verdicts}
+    assert len(declared) == len(verdicts)
+    kinds = Counter(v["check"] for v in verdicts)
+    assert kinds["unique"] == 17 and kinds["accepted_values"] == 13
+    assert kinds["relationships"] == 9 + 1 and kinds["traced"] == 5
+    broken = {(v["check"], v.table_name) for v in verdicts if v.violations}
+    assert ("accepted_values", "stg_teams") in broken and ("traced", "fct_game_summary") not in broken
     written.register_views(MARTS)
     top = spark.sql("SELECT max(win_pct) FROM fct_team_season_summary").first()[0]
     assert boards.top_teams(written.fct_team_season_summary, 1).first().win_pct == top
