@@ -92,13 +92,14 @@ def add_missing(target: DataFrame, batch: DataFrame, keys: list[str], order: str
 
 
 def publish(df: DataFrame, view: str, path: str) -> DataFrame:
-    """Write a new version of a table to its own ``path``, then point the view at it.
+    """Write a new version of a table to its own ``path``, then point the catalog view at it.
 
-    The version being read is never overwritten, and a failed write leaves the view as it was.
+    The version being read is never overwritten, a failed write leaves the view as it was, and
+    every session of the catalog sees the new version at once.
     """
     df.write.mode("errorifexists").parquet(path)
     spark = df.sparkSession
-    spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(view)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
     return spark.table(view)
 
 

@@ -75,6 +75,7 @@ def test_published_versions_swap_behind_the_view(spark, rows):
     m.upsert_view(spark, "team_names", fresh_path(spark, "v"),
                   batch(spark, (0, 1, "b"), (1, 2, "c")), ["k"], "seq")
     assert rows(spark.table("team_names")) == [(1, "b"), (2, "c")]
+    assert rows(spark.newSession().table("team_names")) == [(1, "b"), (2, "c")]
 
 
 def test_seed_updates_known_teams_and_adds_the_rest(spark):
