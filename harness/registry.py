@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from harness import adapter, oracle, payloads
 from sabermill.functions import coerce
 from sabermill.operators import merge, quality, sinks
-from sabermill.operators.dedup import first_per_key
 from sabermill.plans import boards, intermediate, suite
 from sabermill.plans.warehouse import MARTS, Warehouse
 from sabermill.schemas import DEFAULTS, KEYS, PITCH_KEY
