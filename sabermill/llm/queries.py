@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sabermill.llm.decontaminate import decontaminate
 from sabermill.llm.tables import table
+from sabermill.llm.token_counts import count_tokens
+from sabermill.llm.token_files import read_tokens, write_tokens
+from sabermill.session import fresh_path
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +22,23 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, written and read back."""
+    path = fresh_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), path, BYTE_BPE)
+    return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_token_files": op3_token_files,
+    "op8_token_counts": op8_token_counts,
+}
 
 SQL = {
     "op1_decontaminate": r"""

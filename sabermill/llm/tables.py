@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sabermill.session import fresh_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,3 +31,10 @@ def bundle(df: DataFrame, *used: str) -> Column:
 
 def unbundle(df: DataFrame, source: DataFrame, *used: str) -> list[Column]:
     return [F.col("rest").getField(n).alias(n) for n in others(source, *used)]
+
+
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written once to the shared folder with the writer's options, and read back."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
