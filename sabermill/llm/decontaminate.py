@@ -72,9 +72,10 @@ def _shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
     # The outer form adds no filter on the array, for which every text would be cut twice.
     at = docs.select("*", F.posexplode_outer("words").alias("pos", "word"))
     keyed = [F.when(F.col("pos") + n <= F.size("words"), _key(F.col("words"), F.col("pos"), n)) for n in sizes]
-    if len(keyed) == 1:
-        return at.withColumn("key", keyed[0]).where(F.col("key").isNotNull())
-    return at.withColumn("key", F.explode(F.array_compact(F.array(*keyed))))
+    # No lambda here: it would end the generated code between the array and the join, and every
+    # row would carry a copy of the words.
+    key = keyed[0] if len(keyed) == 1 else F.explode(F.array(*keyed))
+    return at.withColumn("key", key).where(F.col("key").isNotNull())
 
 
 def _in_blocks(small: DataFrame, rows: int, bound: int) -> list[DataFrame]:
