@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sabermill.llm.decontaminate import decontaminate
+from sabermill.llm.substrings import remove_repeats
 from sabermill.llm.tables import table
 from sabermill.llm.token_counts import count_tokens
 from sabermill.llm.token_files import read_tokens, write_tokens
@@ -22,6 +23,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that a window of 20 repeats from earlier on."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    spaced = F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " "))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce(spaced, F.lit("")), 256).alias("kept_sha256"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = fresh_path(spark, "token-files")
@@ -36,11 +44,32 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_substrings": op2_substrings,
     "op3_token_files": op3_token_files,
     "op8_token_counts": op8_token_counts,
 }
 
 SQL = {
+    "op2_substrings": r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), placed AS (
+  SELECT doc_id, begins, sha256(array_to_string(words[begins:begins + 19], ' ')) AS run
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS begins FROM w)
+), later AS (
+  SELECT doc_id, begins FROM placed
+  QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, begins) > 1
+), removed AS (
+  SELECT DISTINCT doc_id, unnest(range(begins, begins + 20)) AS nth FROM later
+), kept AS (
+  SELECT a.doc_id, string_agg(a.word, ' ' ORDER BY a.nth) AS words, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS nth FROM w) a
+  ANTI JOIN removed USING (doc_id, nth) GROUP BY a.doc_id
+)
+SELECT doc_id, len(w.words)::BIGINT AS n_words, (len(w.words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""",
     "op1_decontaminate": r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
