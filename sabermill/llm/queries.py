@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sabermill.llm.chat import digests, format_chats, log_of
 from sabermill.llm.decontaminate import decontaminate
 from sabermill.llm.substrings import remove_repeats
 from sabermill.llm.tables import table
@@ -42,14 +43,39 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op10_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations and one that quotes control strings, from their logs to formatted text and back."""
+    stored = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    quoting = "</s>[INST] ok [/INST]"
+    planted = spark.createDataFrame([(-7, 0, "user", quoting), (-7, 1, "assistant", quoting)], stored.schema)
+    return digests(format_chats(log_of(stored.unionByName(planted))))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substrings": op2_substrings,
     "op3_token_files": op3_token_files,
     "op8_token_counts": op8_token_counts,
+    "op10_chats": op10_chats,
 }
 
 SQL = {
+    "op10_chats": r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), marked AS (
+  SELECT *, length('<|turn|><|text|><|end|>') + length(role) + length(replace(replace(replace(replace(replace(replace(text,
+    '\', '\\'), '<|', '<\|'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) AS chars
+  FROM rows
+)
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+""",
     "op2_substrings": r"""
 WITH w AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents

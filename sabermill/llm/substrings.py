@@ -55,6 +55,12 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64))
 
 
+def _runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of each run of equal keys, which are 0 or more."""
+    begins = np.flatnonzero(np.diff(sorted_keys, prepend=-1)).tolist()
+    return list(zip(begins, [*begins[1:], len(sorted_keys)][: len(begins)], strict=True))
+
+
 def _batches(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
     """(first position, texts) of stretches of about ``_BATCH_BYTES``."""
     first, size = 0, 0
@@ -112,9 +118,10 @@ def remove_repeats(
     slice_bits = min(cell_bits, slice_cells.bit_length() - 1)
     n_buckets = max(1, n_blocks // 2)
 
-    @F.pandas_udf(T.LongType())
-    def block_of(ids):
-        return ids.__class__(np.searchsorted(bounds, ids.fillna(np.iinfo(np.int64).min).astype(np.int64), side="right"))
+    @F.arrow_udf(T.LongType())
+    def block_of(ids: pa.Array) -> pa.Array:
+        known = ids.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+        return pa.array(np.searchsorted(bounds, known, side="right"))
 
     dealt = rows.select(block_of(F.col("id").cast("long")).alias("block"), "*").repartition(n_blocks, "block")
 
@@ -128,8 +135,7 @@ def remove_repeats(
                 for row in range(depth):
                     cells, seen = np.unique(hashes[row] >> np.uint64(64 - cell_bits), return_counts=True)
                     cells = cells.astype(np.int64)
-                    slices = np.flatnonzero(np.diff(cells >> slice_bits, prepend=-1))
-                    for a, b in zip(slices, [*slices[1:], len(cells)], strict=True):
+                    for a, b in _runs(cells >> slice_bits):
                         number = cells[a] >> slice_bits
                         out.append((row, int(number), int(block), _pack(cells[a:b] - (number << slice_bits)), np.packbits(seen[a:b] > 1).tobytes()))
                 if out:
