@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sabermill.llm.chat import digests, format_chats, log_of
 from sabermill.llm.decontaminate import decontaminate
+from sabermill.llm.near_duplicates import near_duplicates
 from sabermill.llm.substrings import remove_repeats
 from sabermill.llm.tables import table
 from sabermill.llm.token_counts import count_tokens
@@ -43,6 +44,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations and one that quotes control strings, from their logs to formatted text and back."""
     stored = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -56,6 +62,7 @@ QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_token_files": op3_token_files,
     "op8_token_counts": op8_token_counts,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_chats": op10_chats,
 }
 
