@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sabermill.llm.chat import digests, format_chats, log_of
 from sabermill.llm.decontaminate import decontaminate
 from sabermill.llm.near_duplicates import near_duplicates
+from sabermill.llm.quality import classify
 from sabermill.llm.substrings import remove_repeats
 from sabermill.llm.tables import table
 from sabermill.llm.token_counts import count_tokens
@@ -39,6 +40,12 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    done = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return done.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -61,6 +68,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substrings": op2_substrings,
     "op3_token_files": op3_token_files,
+    "op4_quality": op4_quality,
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chats": op10_chats,
