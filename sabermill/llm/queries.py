@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sabermill.llm.chat import digests, format_chats, log_of
 from sabermill.llm.decontaminate import decontaminate
+from sabermill.llm.embeddings import link_embeddings
 from sabermill.llm.near_duplicates import near_duplicates
 from sabermill.llm.quality import classify
 from sabermill.llm.substrings import remove_repeats
@@ -46,6 +47,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "held_out", "score", "predicted")
 
 
+def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return link_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -69,12 +75,30 @@ QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
+    "op5_embeddings": op5_embeddings,
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chats": op10_chats,
 }
 
 SQL = {
+    "op5_embeddings": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), smallest AS (
+  SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM smallest LEFT JOIN counted USING (vec_id)
+""",
     "op10_chats": r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
