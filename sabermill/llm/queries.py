@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from sabermill.llm.chat import digests, format_chats, log_of
 from sabermill.llm.decontaminate import decontaminate
 from sabermill.llm.embeddings import link_embeddings
+from sabermill.llm.extraction import extract
 from sabermill.llm.near_duplicates import near_duplicates
+from sabermill.llm.pieces import decode_documents, encode_documents
 from sabermill.llm.quality import classify
 from sabermill.llm.substrings import remove_repeats
 from sabermill.llm.tables import table
@@ -17,6 +19,7 @@ from sabermill.llm.token_counts import count_tokens
 from sabermill.llm.token_files import read_tokens, write_tokens
 from sabermill.session import fresh_path
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -52,6 +55,19 @@ def op5_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether they decode to its text."""
+    done = decode_documents(encode_documents(table(spark, sf_dir, "documents"), PIECES), PIECES)
+    given = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
+    ids = F.xxhash64("piece_ids").alias("ids_hash")
+    return done.select("doc_id", "n_pieces", ids, F.char_length("decoded").cast("long").alias("n_chars"), (F.col("decoded") == given).alias("round_trip"))
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
@@ -76,6 +92,8 @@ QUERIES = {
     "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
     "op5_embeddings": op5_embeddings,
+    "op6_pieces": op6_pieces,
+    "op7_main_text": op7_main_text,
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chats": op10_chats,
