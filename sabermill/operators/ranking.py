@@ -1,59 +1,28 @@
-"""Ranks with gaps that do not gather a whole ranking group in one task."""
+"""Ranks with gaps in the metric's own type."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from sabermill.operators.unpivot import views_of_each_row
-from sabermill.session import settle
-
 
 def competition_ranks(
     rows: DataFrame, within: list[str], metrics: dict[str, str], ascending: Column
 ) -> DataFrame:
     """Add ``rank()`` columns over ``within``, NULL metrics last.
 
-    ``metrics`` maps each new rank column to its metric; ``ascending`` says per row whether low
-    values lead. A rank is one plus the number of better rows, so it follows from how often
-    each value occurs. The counts combine before the shuffle, and the window runs over distinct
-    values of rounded metrics only, however many rows share a group or a value.
+    ``metrics`` maps each new rank column to its metric; ``ascending`` says whether low values
+    lead and is the same for all rows of a group. All ranks share one shuffle by ``within``, and a
+    filter on those columns reaches the sources. A group is sorted by one task, with spilling: the
+    rows ranked here are qualified player-seasons, far fewer than the pitches they come from.
     """
-    rows = settle(rows, "ranked-rows")
-    counted = (
-        views_of_each_row(
-            rows.withColumn("_sign", F.when(ascending, F.lit(1)).otherwise(F.lit(-1))),
-            [*within, "_sign"],
-            [
-                {"_board": F.lit(rank), "_value": F.col(metric).cast("decimal(18,3)")}
-                for rank, metric in metrics.items()
-            ],
-        )
-        .groupBy(*within, "_sign", "_board", "_value")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    better = (
-        W.partitionBy(*within, "_board")
-        .orderBy((F.col("_value") * F.col("_sign")).asc_nulls_last())
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    places = settle(
-        counted.select(
-            *within,
-            "_board",
-            "_value",
-            (F.coalesce(F.sum("_rows").over(better), F.lit(0)) + 1).alias("_place"),
-        ),
-        "rank-places",
-    )
-    for rank, metric in metrics.items():
-        board = places.where(F.col("_board") == rank).select(
-            *[F.col(c).alias(f"_{c}") for c in within],
-            F.col("_value"),
-            F.col("_place").alias(rank),
-        )
-        same_group = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in within]
-        same_value = F.col(metric).cast("decimal(18,3)").eqNullSafe(F.col("_value"))
-        rows = rows.join(board, [*same_group, same_value], "left").drop(
-            "_value", *[f"_{c}" for c in within]
-        )
-    return rows
+
+    def rank(metric: str) -> Column:
+        value = F.col(metric)
+        order = [
+            value.isNull(),
+            F.when(ascending, value).asc_nulls_last(),
+            F.when(~ascending, value).desc_nulls_last(),
+        ]
+        return F.rank().over(W.partitionBy(*within).orderBy(*order)).cast("bigint")
+
+    return rows.withColumns({name: rank(metric) for name, metric in metrics.items()})

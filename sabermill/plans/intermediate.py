@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from sabermill.functions import batting, contact, pitching, team
 from sabermill.operators.unpivot import views_of_each_row
-from sabermill.session import settle
 
 FINAL = "F"
 REGULAR = "R"
@@ -149,9 +148,8 @@ def team_records(results: DataFrame) -> DataFrame:
 def int_team_standings(results: DataFrame, teams: DataFrame) -> DataFrame:
     """Season records with games behind the best team of the division.
 
-    The best share comes from an aggregate that combines before its shuffle, not from a window
-    that would hold a whole division in one task. Both branches read the settled records, so
-    the games are scanned once.
+    The best share is a window over the handful of teams of a division and season, so a filter on
+    the season reaches the games, and building the plan runs no job.
     """
     records = (
         team_records(results)
@@ -164,14 +162,10 @@ def int_team_standings(results: DataFrame, teams: DataFrame) -> DataFrame:
             "home_wins", "home_losses", "away_wins", "away_losses",
         )
     )
-    records = settle(records, "team-records")
-    best = (
-        records.where(F.col("division_name").isNotNull())
-        .groupBy("season", "division_name")
-        .agg(F.max("win_pct").alias("best_win_pct"))
-    )
+    best = F.max("win_pct").over(W.partitionBy("season", "division_name"))
+    has_division = F.col("division_name").isNotNull()
     return (
-        records.join(best, ["season", "division_name"], "left")
+        records.withColumn("best_win_pct", F.when(has_division, best))
         .withColumn("games_behind", team.games_behind())
         .select(*records.columns, "games_behind")
     )

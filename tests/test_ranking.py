@@ -46,15 +46,18 @@ def test_ranks_match_brute_force_with_ties_nulls_and_a_hot_group(spark):
                 assert got[(d[0], season, role)] == (speed, share)
 
 
-def test_rank_window_sees_distinct_values_only(spark):
-    """However many rows share values, the ordered window gets one row per value."""
-    df = spark.range(20000).select(
-        F.col("id"), F.lit(1).alias("g"), (F.col("id") % 5).cast("decimal(5,1)").alias("m")
+def test_metrics_are_ranked_in_their_own_type(spark):
+    fine = [D("0.10014"), D("0.10011"), D("0.10014"), None, D("0.09999")]
+    wide = [1e-9, 2e-9, 1e300, 2e-9, None]
+    df = spark.createDataFrame(
+        [(i, 1, f, w) for i, (f, w) in enumerate(zip(fine, wide, strict=True))],
+        "id int, g int, fine decimal(7,5), wide double",
     )
-    ranked = competition_ranks(df, ["g"], {"place": "m"}, ascending=F.lit(False))
-    assert {(float(r.m), r.place) for r in ranked.select("m", "place").distinct().collect()} == {
-        (4.0, 1), (3.0, 4001), (2.0, 8001), (1.0, 12001), (0.0, 16001),
-    }
+    for up in (True, False):
+        ranked = competition_ranks(df, ["g"], {"a": "fine", "b": "wide"}, ascending=F.lit(up))
+        got = {r.id: (r.a, r.b) for r in ranked.collect()}
+        want = zip(expected_ranks(fine, up), expected_ranks(wide, up), strict=True)
+        assert got == dict(enumerate(want))
 
 
 def test_first_per_key_takes_the_lowest_order(spark, rows):
