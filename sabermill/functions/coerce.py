@@ -39,4 +39,4 @@ def measured(value: Column, source: T.DataType, target: T.DataType) -> Column:
 
 def calendar_day(value: Column) -> Column:
     """The date part of a date, a timestamp or text that starts with an ISO date."""
-    return F.substring(value.cast("string"), 1, 10).cast("date")
+    return F.substring(value.cast("string"), 1, 10).try_cast("date")

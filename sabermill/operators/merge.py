@@ -2,7 +2,8 @@
 
 Rules, in the order the batch rows are numbered: a row whose key exists overwrites the chosen
 columns that the batch carries; a new key inserts the row, with defaults for columns the batch
-lacks. Rows with a NULL in the key never match anything and are all inserted.
+lacks. Rows with a NULL in the key never match anything and are all inserted. A batch column that
+the table lacks is an error, as it would be for an INSERT that names its columns.
 """
 
 from __future__ import annotations
@@ -10,9 +11,11 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 LOADED_AT = "loaded_at"
+# Tells rows without a full key apart: 0 for rows with one, else a number of the row's own.
+ALONE = "_alone"
 
 
 def collapse(batch: DataFrame, keys: list[str], update: list[str], order: str) -> DataFrame:
@@ -20,6 +23,7 @@ def collapse(batch: DataFrame, keys: list[str], update: list[str], order: str) -
 
     First and last are aggregates, so the rows of a hot key combine before the shuffle.
     """
+    keys = [*keys, *([ALONE] if ALONE in batch.columns else [])]
     carried = [c for c in batch.columns if c not in (*keys, order)]
     inserted = [c for c in carried if c not in update]
     picks = []
@@ -47,12 +51,24 @@ def merge(
     existing rows as they are.
     """
     defaults = defaults or {}
+    unknown = [c for c in batch.columns if c not in (*target.columns, order)]
+    if unknown:
+        raise ValueError(f"the table has no column {', '.join(unknown)}")
     carried = [c for c in batch.columns if c not in (*keys, order, LOADED_AT)]
     update = carried if update_columns is None else update_columns
-    batch = batch.select(*keys, *carried, order)
+    if missing := [c for c in (*keys, *update) if c not in batch.columns]:
+        raise ValueError(f"the batch has no column {', '.join(missing)}")
 
+    # Rows without a full key match nothing, and would all meet in one task on their NULLs: they
+    # get a join key of their own, negative in the table and positive in the batch, and so both
+    # inputs are read once.
     has_key = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    by_key = collapse(batch.where(has_key), keys, update, order)
+
+    def alone(sign: int) -> Column:
+        own = (F.monotonically_increasing_id() + 1) * sign
+        return F.when(has_key, F.lit(0).cast("bigint")).otherwise(own).alias(ALONE)
+
+    by_key = collapse(batch.select(*keys, *carried, order, alone(1)), keys, update, order)
 
     def inserted(name: str, kind, value):
         if name == LOADED_AT:
@@ -72,18 +88,10 @@ def merge(
         .alias(f.name)
         for f in target.schema
     ]
-    old = target.where(has_key).select(*keys, F.struct(*target.columns).alias("_old"))
-    new = by_key.select(*keys, F.struct(*by_key.columns).alias("_new"))
-    without_key = batch.where(~has_key).select(
-        *[inserted(f.name, f.dataType, f.name).alias(f.name) for f in target.schema]
-    )
-    # Rows without a full key bypass the join: they cannot match and would all meet in one task.
-    return (
-        old.join(new, keys, "full_outer")
-        .select(*columns)
-        .unionByName(target.where(~has_key))
-        .unionByName(without_key)
-    )
+    joined = [*keys, ALONE]
+    old = target.select(*keys, alone(-1), F.struct(*target.columns).alias("_old"))
+    new = by_key.select(*joined, F.struct(*[c for c in by_key.columns if c != ALONE]).alias("_new"))
+    return old.join(new, joined, "full_outer").select(*columns)
 
 
 def add_missing(target: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -3,7 +3,8 @@
 Payload schemas name only what the raw tables need, with statistics as text, since the service
 writes the same field as a number in one place and as text in another. Each flattening takes a
 frame of parsed payloads; ``read_payloads`` makes one from files and ``parse_payloads`` from a
-text column.
+text column. Both stop at a document that can't be read; ``split_payloads`` keeps such documents
+apart instead. A value that can't be read becomes NULL.
 """
 
 from __future__ import annotations
@@ -82,22 +83,48 @@ def read_payloads(
     spark: SparkSession, path: str, schema: str, one_per_file: bool = True
 ) -> DataFrame:
     """Landed JSON files: one document per file, or one per line (splittable, for large files)."""
-    return spark.read.schema(schema).option("multiLine", one_per_file).json(path)
+    reader = spark.read.schema(schema).option("multiLine", one_per_file).option("mode", "FAILFAST")
+    return reader.json(path)
+
+
+def read_documents(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Landed documents as text, with their file and their order in it, for ``split_payloads``."""
+    texts = spark.read.text(path, wholetext=one_per_file)
+    return texts.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("document"))
 
 
 def parse_payloads(texts: DataFrame, column: str, schema: str) -> DataFrame:
-    """Payloads that lie in a text column.
+    """Payloads that lie in a text column; an unreadable one is an error.
 
     Unpacked by a generator, so each text is parsed once; a projection would be inlined into
     every later use of a field and parse again there.
     """
-    return texts.select(F.inline(F.array(F.from_json(column, schema))))
+    parsed = F.from_json(column, schema, {"mode": "FAILFAST"})
+    return texts.select(F.inline(F.array(parsed)))
+
+
+UNREADABLE = "_unreadable"
+
+
+def split_payloads(texts: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Readable payloads, and the rows of ``texts`` whose document is no JSON of that shape.
+
+    A document counts as readable if all of it could be taken; NULL is unreadable.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
+    known = f"{schema.strip()}, {UNREADABLE} STRING"
+    parsed = texts.where(F.col(column).isNotNull()).select(
+        F.inline(F.array(F.from_json(column, known, options)))
+    )
+    bad = F.from_json(column, known, options).getField(UNREADABLE).isNotNull()
+    rejects = texts.where(F.col(column).isNull() | bad)
+    return parsed.where(F.col(UNREADABLE).isNull()).drop(UNREADABLE), rejects
 
 
 def _select(df: DataFrame, table: str, columns: dict[str, Column]) -> DataFrame:
     """The columns in the raw table's order and types."""
     kinds = {f.name: f.dataType for f in raw_schema(table)}
-    return df.select(*[columns[n].cast(kinds[n]).alias(n) for n in kinds if n in columns])
+    return df.select(*[columns[n].try_cast(kinds[n]).alias(n) for n in kinds if n in columns])
 
 
 def flatten_teams(payloads: DataFrame) -> DataFrame:

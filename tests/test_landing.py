@@ -2,6 +2,7 @@ import json
 from datetime import date
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from sabermill.sources import chunks, landing
@@ -140,11 +141,45 @@ def test_pitching_reads_innings_as_written(spark, tmp_path, rows):
 
 def test_text_payloads_parse_like_files(spark):
     doc = json.dumps({"teams": [{"id": 4, "name": "D"}]})
-    texts = spark.createDataFrame([(doc,), ("not json",)], "doc string")
+    texts = spark.createDataFrame([(doc,)], "doc string")
     got = landing.flatten_teams(landing.parse_payloads(texts, "doc", landing.TEAMS_PAYLOAD))
     assert [r.team_id for r in got.collect()] == [4]
 
 
+BROKEN = ["not json", '{"teams": [{"id": 5', '{"teams": 7}', None]
+
+
+@pytest.mark.parametrize("text", BROKEN[:3])
+def test_an_unreadable_document_stops_a_plain_read(spark, tmp_path, text):
+    texts = spark.createDataFrame([(text,)], "doc string")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|cannot be parsed"):
+        landing.parse_payloads(texts, "doc", landing.TEAMS_PAYLOAD).collect()
+    (tmp_path / "teams.json").write_text(text)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ|cannot be parsed"):
+        landing.read_payloads(spark, str(tmp_path), landing.TEAMS_PAYLOAD).collect()
+
+
+def test_unreadable_documents_are_kept_apart(spark):
+    docs = [json.dumps({"teams": [{"id": i}]}) for i in (1, 2)] + BROKEN + ["{}"]
+    texts = spark.createDataFrame(list(enumerate(docs)), "n int, doc string")
+    good, bad = landing.split_payloads(texts, "doc", landing.TEAMS_PAYLOAD)
+    assert sorted(r.team_id for r in landing.flatten_teams(good).collect()) == [1, 2]
+    assert good.count() == 3 and sorted(r.n for r in bad.collect()) == [2, 3, 4, 5]
+
+
+def test_values_that_are_no_dates_become_null(spark):
+    doc = json.dumps({"people": [{"id": 1, "birthDate": "garbage", "mlbDebutDate": "2020-02-30"},
+                                 {"id": 2, "birthDate": "1990-05-06"}]})
+    texts = spark.createDataFrame([(doc,)], "doc string")
+    rosters = spark.createDataFrame([], landing.ROSTER_PAYLOAD)
+    people = landing.flatten_players(
+        landing.parse_payloads(texts, "doc", landing.PEOPLE_PAYLOAD),
+        landing.first_roster_spots(rosters),
+    )
+    got = {r.player_id: (r.birth_date, r.mlb_debut_date) for r in people.collect()}
+    assert got == {1: (None, None), 2: (date(1990, 5, 6), None)}
+
+
 def test_chunks_are_inclusive_and_the_last_is_short(spark, rows):
     got = chunks.chunks_between(spark, date(2024, 3, 28), date(2024, 4, 8))
     assert rows(got) == [

@@ -103,3 +103,18 @@ def test_append_adds_rows_again_and_replace_does_not(spark):
     path = fresh_path(spark, "replace")
     sinks.replace_table(df, path)
     assert sinks.replace_table(df, path).count() == 6
+
+
+def test_columns_the_table_lacks_are_an_error(spark, target):
+    with pytest.raises(ValueError, match="no column vv"):
+        m.merge(target, spark.createDataFrame([(0, 1, 2)], "seq int, k int, vv int"), ["k"], "seq")
+    with pytest.raises(ValueError, match="batch has no column k"):
+        m.merge(target, spark.createDataFrame([(0, "x")], "seq int, name string"), ["k"], "seq")
+
+
+def test_each_input_is_read_once(spark, target):
+    at = fresh_path(spark, "merge-target")
+    target.write.parquet(f"{at}/t")
+    batch(spark, (0, 1, "x"), (1, None, "y")).write.parquet(f"{at}/b")
+    merged = m.merge(spark.read.parquet(f"{at}/t"), spark.read.parquet(f"{at}/b"), ["k"], "seq")
+    assert merged._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
