@@ -14,11 +14,16 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from sabermill.operators.dedup import first_per_key
-from sabermill.schemas import PITCH_KEY
+from sabermill.operators.merge import LOADED_AT
+from sabermill.schemas import PITCH_KEY, raw_schema
 from sabermill.sources.pitches import pitch_rows
 
 SEASON = "game_year"
 BATCH = "batch"
+ALONE = "_alone"
+FIRST_BY = ["game_date", "batter", "pitcher"]
+# A season of a batch is written by up to so many tasks, into as many files.
+SPREAD = 8
 
 
 def landed_stream(
@@ -37,8 +42,10 @@ def landed_stream(
 
 def append_stream(pitches: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append coerced pitches once per landed file; the file sink commits each batch once."""
+    spread = F.pmod("at_bat_number", F.lit(SPREAD))
     return (
         pitch_rows(pitches)
+        .repartition(SEASON, spread)
         .writeStream.format("parquet")
         .partitionBy(SEASON)
         .option("checkpointLocation", checkpoint)
@@ -55,14 +62,20 @@ def _has_key() -> Column:
 def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of the batch whose pitch is not stored yet, one per pitch.
 
-    Repeats combine before the shuffle, and the join with the store keeps that partitioning, so
-    whole rows move once. Pitches without a full natural key cannot be compared and bypass both.
-    Only the key columns of the store are read.
+    Of repeats the one that comes first by all its columns stays, so a replay stores the same
+    rows in whatever order they arrive. Pitches without a full natural key cannot be compared
+    and all stay: each gets a key of its own, which also spreads them over the tasks. Repeats
+    combine before the shuffle, the join with the store keeps that partitioning, and the batch is
+    read once.
     """
-    tie_break = [F.col(c) for c in ("game_date", "batter", "pitcher", "id")]
-    once = first_per_key(batch.where(_has_key()), PITCH_KEY, tie_break)
-    known = stored.select(*PITCH_KEY).where(_has_key())
-    return once.join(known, PITCH_KEY, "left_anti").unionByName(batch.where(~_has_key()))
+    alone = F.when(_has_key(), F.lit(0).cast("bigint")).otherwise(F.monotonically_increasing_id() + 1)
+    keys = [*PITCH_KEY, ALONE]
+    first = [c for c in FIRST_BY if c in batch.columns]
+    rest = [c for c in batch.columns if c not in (*PITCH_KEY, *first, LOADED_AT)]
+    order = [F.col(c) for c in (*first, *rest)]
+    once = first_per_key(batch.withColumn(ALONE, alone), keys, order)
+    known = stored.select(*PITCH_KEY, F.lit(0).cast("bigint").alias(ALONE)).where(_has_key())
+    return once.join(known, keys, "left_anti").select(*batch.columns)
 
 
 def keyed_stream(pitches: DataFrame, path: str) -> StreamingQuery:
@@ -71,16 +84,29 @@ def keyed_stream(pitches: DataFrame, path: str) -> StreamingQuery:
     The store itself is the memory, so no state grows with the stream and no late row is lost to
     a watermark. Every batch has a folder of its own that a replay overwrites, so a batch that
     failed half-way counts once; the checkpoint lives in the store, as batch numbers belong to it.
+    Inside a batch rows lie by season, and a batch reads the keys of its own seasons only: a
+    pitch's game, and so its key, belongs to one season.
     """
     rows = pitch_rows(pitches)
     spark = pitches.sparkSession
-    spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{path}/{BATCH}=-1")
+    layout = T.StructType([*rows.schema, T.StructField(BATCH, T.LongType())])
+    empty = spark.createDataFrame([], layout)
+    empty.write.mode("ignore").partitionBy(BATCH, SEASON).parquet(path)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        layout = T.StructType([*batch.schema, T.StructField(BATCH, T.LongType())])
-        stored = session.read.schema(layout).parquet(path).where(F.col(BATCH) < batch_id)
-        unseen(batch, stored).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        batch = batch.persist()  # parsed once, for its seasons and for its rows
+        try:
+            seasons = [r[SEASON] for r in batch.select(SEASON).distinct().collect()]
+            own = F.col(SEASON).isin([s for s in seasons if s is not None])
+            if None in seasons:
+                own |= F.col(SEASON).isNull()
+            stored = session.read.schema(layout).parquet(path)
+            stored = stored.where((F.col(BATCH) < batch_id) & own)
+            fresh = unseen(batch, stored).repartition(SEASON, F.pmod("at_bat_number", F.lit(SPREAD)))
+            fresh.write.mode("overwrite").partitionBy(SEASON).parquet(f"{path}/{BATCH}={batch_id}")
+        finally:
+            batch.unpersist()
 
     return (
         rows.writeStream.foreachBatch(store)
@@ -91,4 +117,7 @@ def keyed_stream(pitches: DataFrame, path: str) -> StreamingQuery:
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A keyed store, its batch beside the pitch columns."""
+    columns = raw_schema("statcast")
+    layout = T.StructType([*columns, T.StructField(BATCH, T.LongType())])
+    return spark.read.schema(layout).parquet(path).select(*columns.names, BATCH)

@@ -51,7 +51,7 @@ def test_append_reads_each_file_once(spark, landing_folder):
     for stream in (landing_folder(pitch(1.0), pitch(1.0)), landing_folder(pitch(2.0))):
         ingest.append_stream(stream, path, checkpoint).awaitTermination()
     ingest.append_stream(stream, path, checkpoint).awaitTermination()
-    assert sorted(r.game_pk for r in ingest.read_store(spark, path).collect()) == [1, 1, 2]
+    assert sorted(r.game_pk for r in spark.read.parquet(path).collect()) == [1, 1, 2]
 
 
 def test_keyed_ingest_drops_repeats_across_runs_and_keeps_late_and_keyless_rows(
@@ -78,3 +78,38 @@ def test_unseen_keeps_one_row_of_a_hot_pitch(spark):
     )
     assert [r.batter for r in ingest.unseen(hot, hot.limit(0)).collect()] == [0]
     assert ingest.unseen(hot, hot).count() == 0
+
+
+def test_the_stored_version_of_a_pitch_does_not_depend_on_order(spark, landing_folder, tmp_path):
+    versions = [pitch(1.0, speed=101.0), pitch(1.0, speed=90.0), pitch(1.0, zone="1", speed=90.0)]
+    stored = []
+    for rows in (versions, versions[::-1]):
+        folder = str(tmp_path / f"in{len(stored)}")
+        spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(folder)
+        stream = ingest.landed_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema)
+        path = fresh_path(spark, "order")
+        ingest.keyed_stream(stream, path).awaitTermination()
+        stored.append([(r.launch_speed, r.zone) for r in ingest.read_store(spark, path).collect()])
+    assert stored[0] == stored[1] and len(stored[0]) == 1
+
+
+def test_a_batch_reads_its_own_seasons_of_the_store(spark, landing_folder):
+    path = fresh_path(spark, "seasons")
+    ingest.keyed_stream(landing_folder(pitch(1.0), pitch(2.0)), path).awaitTermination()
+    old = (9.0, "2023-04-01", 2023.0, *pitch(9.0)[3:])
+    ingest.keyed_stream(landing_folder(old, old), path).awaitTermination()
+    store = ingest.read_store(spark, path)
+    assert sorted((r.game_pk, r.game_year, r.batch) for r in store.collect()) == [
+        (1, 2024, 0), (2, 2024, 0), (9, 2023, 1),
+    ]
+    text = store.where("game_year = 2023")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(game_year" in text
+
+
+def test_the_batch_is_read_once(spark):
+    at = fresh_path(spark, "batch")
+    pitches.pitch_rows(spark.createDataFrame([pitch(1.0)], SCHEMA)).write.parquet(at)
+    batch = spark.read.parquet(at)
+    stored = spark.createDataFrame([], batch.schema)
+    text = ingest.unseen(batch, stored)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1
