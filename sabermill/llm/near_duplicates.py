@@ -14,8 +14,11 @@ counted and order kept. Classes are the connected components of links.
 3. **Stars.** Documents of a bucket are compared with one of them, chosen by hash, in two rounds of
    different choice; the second skips what the first connected. That is linear in the bucket, however
    many near copies it holds.
-4. **The rest.** What then lies in one bucket but in different components is compared pair by
-   pair, so no candidate is left out.
+4. **The rest.** What then lies in one bucket but in different components is compared pair by pair
+   inside tasks, in blocks of ``block`` documents, by an upper bound of their matches: a document's
+   labelled shingles set bits of a signature, and every bit that the other one lacks stands for
+   a shingle that can't match. Only pairs that the bound lets pass leave the task, so no candidate
+   is left out and a large bucket of unlike documents gives no rows.
 5. **Alignment.** Equal ends are matched first; the middle is aligned by a bit-parallel longest common
    subsequence inside the band of diagonals that the threshold allows.
 
@@ -43,6 +46,7 @@ from sabermill.llm.word_windows import Words, mixed
 
 _BATCH_BYTES = 1 << 21
 _CELLS = 1 << 20
+_BITS = 2048
 
 
 def shingles_of(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -90,6 +94,24 @@ def sketch(shingles: np.ndarray, bands: int, sampled: int) -> np.ndarray:
     return keys
 
 
+def signature(shingles: np.ndarray) -> bytes:
+    """The bits that the labelled shingles set."""
+    bits = np.zeros(_BITS, bool)
+    bits[labelled(shingles) & np.uint64(_BITS - 1)] = True
+    return np.packbits(bits).tobytes()
+
+
+def may_be_similar(n_a: np.ndarray, bits_a: np.ndarray, n_b: np.ndarray, bits_b: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs of rows (of 64-bit words of signatures) could reach the similarity."""
+    own_a, own_b = np.bitwise_count(bits_a).sum(axis=1, dtype=np.int64), np.bitwise_count(bits_b).sum(axis=1, dtype=np.int64)
+    out = np.empty((len(n_a), len(n_b)), bool)
+    for i in range(0, len(n_a), 32):
+        both = np.bitwise_count(bits_a[i : i + 32, None] & bits_b[None]).sum(axis=2, dtype=np.int64)
+        most = np.minimum((n_a - own_a)[i : i + 32, None], (n_b - own_b)[None]) + both
+        out[i : i + 32] = most * (1 + similarity) >= similarity * (n_a[i : i + 32, None] + n_b[None]) - 1e-6
+    return out
+
+
 def matched(a: np.ndarray, b: np.ndarray, need: int) -> int:
     """Matches in the best alignment of two sequences; below ``need`` only a bound below it."""
     short = min(len(a), len(b))
@@ -127,22 +149,23 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
 def _sketches(docs: DataFrame, shingle: int, bands: int, sampled: int, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col)
     rows = docs.select(col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("copy"), text.alias("text"))
-    schema = "id long, copy binary, n long, keys array<long>"
+    schema = "id long, copy binary, n long, keys array<long>, bits binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            counts, keys = [], []
+            counts, keys, bits = [], [], []
             for a, b in _stretches(texts):
                 for own in shingles_of(texts[a:b], shingle):
                     counts.append(len(own))
                     keys.append(sketch(own, bands, sampled) if len(own) else None)
+                    bits.append(signature(own) if len(own) else None)
             none = pa.array([k is None for k in keys])
             flat = np.concatenate([np.empty(0, np.uint64), *[k for k in keys if k is not None]]).view(np.int64)
             offsets = np.concatenate([[0], np.cumsum([0 if k is None else bands for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             copy = pc.if_else(none, pa.scalar(None, pa.binary()), batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), copy, pa.array(counts, pa.int64()), lists], ["id", "copy", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), copy, pa.array(counts, pa.int64()), lists, pa.array(bits, pa.binary())], ["id", "copy", "n", "keys", "bits"])
 
     return rows.mapInArrow(run, schema)
 
@@ -170,6 +193,36 @@ def _linked(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float)
     return both.mapInArrow(run, "a long, b long")
 
 
+def _possible(placed: DataFrame, block: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of a bucket's documents of different components that the bound lets pass.
+
+    A bucket of more than ``block`` documents is cut into parts by hash; each pair of parts is one row.
+    """
+    bucket = ["band", "key"]
+    parts = placed.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
+    own = placed.join(parts, bucket).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    meets = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    meets = meets.groupBy(*bucket, F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
+    grouped = meets.agg(F.collect_list(F.struct("part", "node", "component", "n", "bits")).alias("rows")).select("lo", "hi", "rows")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
+            for lo, hi, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                fields = rows.values.flatten()
+                part, node, component, n = (f.to_numpy(zero_copy_only=False) for f in fields[:4])
+                bits = np.frombuffer(b"".join(fields[4].to_pylist()), np.uint64).reshape(len(node), -1)
+                x, y = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
+                good = may_be_similar(n[x], bits[x], n[y], bits[y], similarity)
+                good &= (component[x][:, None] < component[y][None]) if lo == hi else (component[x][:, None] != component[y][None])
+                i, j = np.nonzero(good)
+                found.append(np.sort(np.stack([node[x[i]], node[y[j]]], axis=1), axis=1))
+            both = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+    return grouped.mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -177,13 +230,14 @@ def near_duplicates(
     similarity: float = 0.8,
     bands: int = 24,
     sampled: int = 4,
+    block: int = 2048,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """doc_id, class_id (smallest id of the class), kept (it is that one) and n_shingles, for every row."""
     spark = docs.sparkSession
     rows = written(_sketches(docs, shingle, bands, sampled, id_col, text_col), "sketches")
-    distinct = rows.where("id is not null and copy is not null").groupBy("copy").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys"), F.min("n").alias("n"))
+    distinct = rows.where("id is not null and copy is not null").groupBy("copy").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys"), F.min_by("bits", "id").alias("bits"), F.min("n").alias("n"))
     spread = distinct.select("node", "n", F.posexplode("keys").alias("band", "key"))
     chosen = F.min_by("node", F.xxhash64("node", "band")).alias("first"), F.max_by("node", F.xxhash64("node", "band")).alias("second")
     shared = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), *chosen).where("size > 1")
@@ -213,8 +267,7 @@ def near_duplicates(
                 other = label.toDF(center, "there")
                 pairs = star(center, placed.join(other, center, "left").where(F.col("component") != F.coalesce("there", center)))
             else:
-                there = placed.select("band", "key", F.col("node").alias("other"), F.col("n").alias("n_other"), F.col("component").alias("there"))
-                pairs = placed.join(there, ["band", "key"]).where((F.col("component") < F.col("there")) & close).select(*ends).distinct()
+                pairs = _possible(placed.join(distinct.select("node", "bits"), "node"), block, similarity)
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
