@@ -30,6 +30,8 @@ from sabermill.llm.tables import col
 
 _MARK = "▁"
 _PAIRS = 1 << 20
+# The words of so much text are held at once.
+_BATCH_BYTES = 1 << 24
 
 _loaded: dict[str, PieceModel] = {}
 
@@ -184,8 +186,13 @@ def encoded(text: Column, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        ids, counts = model(path).encode(texts.to_pylist())
-        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
+        found = model(path)
+        sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // _BATCH_BYTES
+        begins = np.flatnonzero(np.diff(sizes, prepend=-1)).tolist()
+        parts = [found.encode(texts[a:b].to_pylist()) for a, b in zip(begins, [*begins[1:], len(texts)], strict=False)]
+        ids = np.concatenate([np.empty(0, np.int32), *[i for i, _ in parts]])
+        ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *[n for _, n in parts]]))
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
 
     return run(text)
 

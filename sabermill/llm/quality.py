@@ -9,9 +9,9 @@ the documents of class 1 and 0 that have it, scales rows to unit length and fits
 model by dual coordinate descent. Every fifth row of the sample is left out of that and calibrates the
 margin to a probability with a logistic curve.
 
-The sample: at most ``max_rows`` labelled rows (20,000 unless said otherwise), those smallest by a hash of
+The sample: at most ``max_rows`` labelled rows (10,000 unless said otherwise), those smallest by a hash of
 their id. It is the only part that doesn't cover all data: a table of that size is broadcast to find
-the texts, and their features (about 80 MB at most for texts of a thousand distinct n-grams) are
+the texts, and their features (about 40 MB for texts of a thousand distinct n-grams) are
 fitted in the driver. Scoring covers every whole text in one pass without a shuffle.
 
 Defined cases: a null or empty text has no features and gets the score of the model's constant. A null
@@ -179,7 +179,7 @@ def fold_of(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string")) % 5
 
 
-def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text", **options) -> Model:
+def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max_rows: int = 10_000, id_col: str = "doc_id", text_col: str = "text", **options) -> Model:
     """A model of the labelled rows outside fold 0."""
     known = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("y")).where(F.col("y").isin(0, 1) & (fold_of(F.col("id")) != 0))
     sample = known.orderBy(F.xxhash64("id"), "id", "y").limit(max_rows)
