@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -138,15 +140,52 @@ class Warehouse:
             self.model(name).createOrReplaceTempView(name)
 
 
+# Models that read only staging models or the ones before; each group is written at once.
+STEPS = [
+    [name for name in INTERMEDIATE if name != "int_team_standings"],
+    ["int_team_standings"],
+    MARTS,
+]
+SEASON = "season"
+
+
 def build(
-    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, **options
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    folder: str,
+    views: str | None = None,
+    parallel: int = 4,
+    **options,
 ) -> "Warehouse":
-    """Write the intermediate models and then the marts, each from the tables before it."""
+    """Write all models as a new version under ``folder`` and read them from there.
+
+    Models of a step run at once. Tables with a season lie in season folders, so a query for a
+    season reads its folders only. Older versions are not touched: a failed build leaves
+    them as they were, and a reader keeps its version. ``views`` is a prefix under which
+    catalog views are pointed at the new version, after everything is written.
+    """
+    version = f"{folder}/{uuid.uuid4().hex}"
     warehouse = Warehouse(raw, **options)
     written: dict[str, DataFrame] = {}
-    for name in [*INTERMEDIATE, *MARTS]:
-        path = f"{folder}/{name}"
-        warehouse.model(name).write.mode("overwrite").parquet(path)
-        written[name] = spark.read.parquet(path)
-        warehouse = Warehouse(raw, written=written, **options)
+
+    def write(name: str) -> tuple[str, DataFrame]:
+        df = warehouse.model(name)
+        path = f"{version}/{name}"
+        if SEASON in df.columns:
+            df.hint("rebalance", SEASON).write.partitionBy(SEASON).parquet(path)
+        else:
+            df.write.parquet(path)
+        return name, spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        for step in STEPS:
+            written |= dict(pool.map(write, step))
+            warehouse = Warehouse(raw, written=written, **options)
+    if views is not None:
+        for name, df in written.items():
+            columns = ", ".join(df.columns)
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {views}{name} AS "
+                f"SELECT {columns} FROM parquet.`{version}/{name}`"
+            )
     return warehouse

@@ -3,6 +3,7 @@ from collections import Counter
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from harness import adapter
 from sabermill.plans import boards, suite
@@ -33,6 +34,25 @@ def test_written_models_equal_lazy_ones(spark, rows):
     assert boards.top_teams(written.fct_team_season_summary, 1).first().win_pct == top
 
 
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the given tables")
+def test_builds_are_versions_laid_out_by_season(spark, rows):
+    raw = adapter.raw_tables(spark, SF_DIR)
+    folder = fresh_path(spark, "warehouse")
+    built = build(spark, raw, folder, views="v_")
+    text = boards.standings(built.fct_team_season_summary, 1998)._jdf.queryExecution()
+    assert "PartitionFilters: [isnotnull(season" in text.executedPlan().toString()
+    before = rows(built.dim_teams)
+    assert rows(spark.table("v_dim_teams")) == before
+
+    broken = {**raw, "games": raw["games"].where(F.raise_error(F.lit("broken")).cast("boolean"))}
+    with pytest.raises(Exception, match="broken"):
+        build(spark, broken, folder, views="v_")
+    assert rows(built.dim_teams) == before == rows(spark.table("v_dim_teams"))
+    assert len(os.listdir(folder)) == 2
+    for name in [*INTERMEDIATE, *MARTS]:
+        spark.sql(f"DROP VIEW v_{name}")
+
+
 def test_settled_frames_keep_rows_and_schema(spark, rows):
     df = spark.createDataFrame([(1, None), (2, "x")], "k int, v string")
     again = settle(df, "settled")
