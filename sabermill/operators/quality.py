@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,16 +22,37 @@ def together(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
+@dataclass(frozen=True)
+class Measure:
+    """A check over the rows of a table: aggregates, and the violations that follow from them."""
+
+    check: str
+    column: str
+    aggregates: tuple[Column, ...]
+    violations: Callable[..., Column]
+
+
+def one_pass(df: DataFrame, table: str, measures: list[Measure]) -> DataFrame:
+    """Any number of checks over one table in one scan."""
+    parts, rows = [], []
+    for m in measures:
+        names = [f"m{len(parts) + i}" for i in range(len(m.aggregates))]
+        parts += [a.alias(n) for a, n in zip(m.aggregates, names, strict=True)]
+        bad = m.violations(*[F.col(n) for n in names])
+        rows.append(F.struct(*_verdict(m.check, table, m.column, bad)))
+    return df.agg(*parts).select(F.inline(F.array(*rows)))
+
+
+def rule_measures(rules: dict[tuple[str, str], Column]) -> list[Measure]:
+    """Per-row rules; ``rules`` maps (check, column) to what must not hold."""
+    return [
+        Measure(check, column, (F.count_if(bad),), lambda n: n)
+        for (check, column), bad in rules.items()
+    ]
+
+
 def row_rules(df: DataFrame, table: str, rules: dict[tuple[str, str], Column]) -> DataFrame:
-    """Many per-row rules in one pass; ``rules`` maps (check, column) to what must not hold."""
-    counts = [F.count_if(bad).alias(f"v{i}") for i, bad in enumerate(rules.values())]
-    rows = F.array(
-        *[
-            F.struct(*_verdict(check, table, column, F.col(f"v{i}")))
-            for i, (check, column) in enumerate(rules)
-        ]
-    )
-    return df.agg(*counts).select(F.inline(rows))
+    return one_pass(df, table, rule_measures(rules))
 
 
 def missing(column: str) -> Column:
@@ -114,12 +137,20 @@ def groups_break(
     return row_rules(grouped, table, {(check, key): bad for check, bad in rules.items()})
 
 
-def few_rows(df: DataFrame, table: str, minimum: int) -> DataFrame:
+def size_measures(minimum: int) -> list[Measure]:
     """By how many rows the table falls short."""
-    short = F.greatest(F.lit(minimum) - F.col("n"), F.lit(0))
-    return df.agg(F.count(F.lit(1)).alias("n")).select(
-        *_verdict(f"at_least_{minimum}_rows", table, "", short)
-    )
+    return [
+        Measure(
+            f"at_least_{minimum}_rows",
+            "",
+            (F.count(F.lit(1)),),
+            lambda n: F.greatest(F.lit(minimum) - n, F.lit(0)),
+        )
+    ]
+
+
+def few_rows(df: DataFrame, table: str, minimum: int) -> DataFrame:
+    return one_pass(df, table, size_measures(minimum))
 
 
 def same_size(tables: dict[str, DataFrame]) -> DataFrame:
@@ -131,30 +162,23 @@ def same_size(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def share_measures(ceilings: dict[str, str]) -> list[Measure]:
+    """One violation per column whose share of NULLs reaches its ceiling."""
+
+    def reached(limit: str) -> Callable[..., Column]:
+        share = F.lit(limit).cast("decimal(3,2)")
+        return lambda total, filled: F.when(
+            (total > 0) & (total - filled >= share * total), 1
+        ).otherwise(0)
+
+    return [
+        Measure(f"null_share_below_{limit}", c, (F.count(F.lit(1)), F.count(c)), reached(limit))
+        for c, limit in ceilings.items()
+    ]
+
+
 def null_share(df: DataFrame, table: str, ceilings: dict[str, str]) -> DataFrame:
-    """One violation per column whose share of NULLs reaches its ceiling; one pass."""
-    total = F.count(F.lit(1)).alias("total")
-    filled = [F.count(c).alias(f"f{i}") for i, c in enumerate(ceilings)]
-    rows = F.array(
-        *[
-            F.struct(
-                *_verdict(
-                    f"null_share_below_{limit}",
-                    table,
-                    column,
-                    F.when(F.col("total") == 0, 0)
-                    .when(
-                        F.col("total") - F.col(f"f{i}")
-                        >= F.lit(limit).cast("decimal(3,2)") * F.col("total"),
-                        1,
-                    )
-                    .otherwise(0),
-                )
-            )
-            for i, (column, limit) in enumerate(ceilings.items())
-        ]
-    )
-    return df.agg(total, *filled).select(F.inline(rows))
+    return one_pass(df, table, share_measures(ceilings))
 
 
 def distinct_key(df: DataFrame, table: str, column: str) -> DataFrame:

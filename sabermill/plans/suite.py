@@ -1,7 +1,8 @@
 """The declared checks over a warehouse, grouped by kind.
 
-Checks over the rows of one table share one pass. Lists of allowed values and thresholds are
-parameters with the declared defaults.
+Checks over the rows of one table share one pass, across kinds where they run together
+(``row_checks``, ``every_check``). Lists of allowed values and thresholds are parameters with the
+declared defaults.
 """
 
 from __future__ import annotations
@@ -105,32 +106,48 @@ def uniqueness(w: Warehouse) -> DataFrame:
     return q.together([*raw, *[q.unique(w.model(t), t, c) for t, c in UNIQUE.items()]])
 
 
+Measures = dict[str, list[q.Measure]]
+
+
+def _table(w: Warehouse, name: str) -> DataFrame:
+    return w.raw[name[4:]] if name.startswith("raw_") else w.model(name)
+
+
+def _scan(w: Warehouse, *families: Measures) -> DataFrame:
+    """One scan for each table, whatever number of families has checks on its rows."""
+    by_table: Measures = {}
+    for family in families:
+        for name, measures in family.items():
+            by_table.setdefault(name, []).extend(measures)
+    return q.together([q.one_pass(_table(w, n), n, m) for n, m in by_table.items()])
+
+
+def completeness_measures() -> Measures:
+    columns = {f"raw_{t}": c for t, c in RAW_KEYS.items()} | NOT_NULL
+    return {
+        t: q.rule_measures({("not_null", c): q.missing(c) for c in names.split()})
+        for t, names in columns.items()
+    }
+
+
 def completeness(w: Warehouse) -> DataFrame:
-    raw = [
-        q.row_rules(w.raw[t], f"raw_{t}", {("not_null", c): q.missing(c)})
-        for t, c in RAW_KEYS.items()
-    ]
-    models = [
-        q.row_rules(w.model(t), t, {("not_null", c): q.missing(c) for c in columns.split()})
-        for t, columns in NOT_NULL.items()
-    ]
-    return q.together([*raw, *models])
+    return _scan(w, completeness_measures())
 
 
-def accepted_values(w: Warehouse, divisions: list[str] | None = None) -> DataFrame:
+def accepted_measures(divisions: list[str] | None = None) -> Measures:
     def allowed(column: str, values: list[str]) -> list[str]:
         return divisions if divisions and column == "division_name" else values
 
-    return q.together(
-        [
-            q.row_rules(
-                w.model(t),
-                t,
-                {("accepted_values", c): q.not_in(c, allowed(c, v)) for c, v in columns.items()},
-            )
-            for t, columns in ACCEPTED.items()
-        ]
-    )
+    return {
+        t: q.rule_measures(
+            {("accepted_values", c): q.not_in(c, allowed(c, v)) for c, v in columns.items()}
+        )
+        for t, columns in ACCEPTED.items()
+    }
+
+
+def accepted_values(w: Warehouse, divisions: list[str] | None = None) -> DataFrame:
+    return _scan(w, accepted_measures(divisions))
 
 
 def relationships(w: Warehouse) -> DataFrame:
@@ -145,7 +162,7 @@ def either_team_missing(w: Warehouse) -> DataFrame:
     )
 
 
-def ranges(w: Warehouse) -> DataFrame:
+def range_measures() -> Measures:
     """Values out of range; NULLs pass, except the scores of a final game."""
     final = F.col("game_status_code") == "F"
     no_score = F.col("home_score").isNull() | F.col("away_score").isNull()
@@ -170,10 +187,14 @@ def ranges(w: Warehouse) -> DataFrame:
             ("in_range", c): q.outside(c, 0, 1) for c in ("walk_pct", "strikeout_pct")
         },
     }
-    return q.together([q.row_rules(w.model(t), t, r) for t, r in rules.items()])
+    return {t: q.rule_measures(r) for t, r in rules.items()}
 
 
-def tolerances(w: Warehouse) -> DataFrame:
+def ranges(w: Warehouse) -> DataFrame:
+    return _scan(w, range_measures())
+
+
+def tolerance_measures() -> Measures:
     """Columns that must agree with each other."""
     ops = F.col("on_base_plus_slugging")
     parts = F.col("on_base_percentage") + F.col("slugging_percentage")
@@ -193,7 +214,11 @@ def tolerances(w: Warehouse) -> DataFrame:
             != F.col("games_played")
         },
     }
-    return q.together([q.row_rules(w.model(t), t, r) for t, r in rules.items()])
+    return {t: q.rule_measures(r) for t, r in rules.items()}
+
+
+def tolerances(w: Warehouse) -> DataFrame:
+    return _scan(w, tolerance_measures())
 
 
 def game_consistency(w: Warehouse) -> DataFrame:
@@ -216,20 +241,25 @@ def game_consistency(w: Warehouse) -> DataFrame:
     )
 
 
+def size_measures() -> Measures:
+    least = {f"raw_{t}": n for t, n in MIN_ROWS.items()} | dict.fromkeys(FILLED_MARTS, 1)
+    return {t: q.size_measures(n) for t, n in least.items()}
+
+
 def minimum_rows(w: Warehouse) -> DataFrame:
-    raw = [q.few_rows(w.raw[t], f"raw_{t}", n) for t, n in MIN_ROWS.items()]
-    return q.together([*raw, *[q.few_rows(w.model(t), t, 1) for t in FILLED_MARTS]])
+    return _scan(w, size_measures())
 
 
 def layer_sizes(w: Warehouse) -> DataFrame:
-    def layer(name: str) -> DataFrame:
-        return w.raw[name[4:]] if name.startswith("raw_") else w.model(name)
+    return q.together([q.same_size({n: _table(w, n) for n in names}) for names in SAME_SIZE])
 
-    return q.together([q.same_size({n: layer(n) for n in names}) for names in SAME_SIZE])
+
+def share_measures() -> Measures:
+    return {f"raw_{t}": q.share_measures(c) for t, c in NULL_SHARES.items()}
 
 
 def null_shares(w: Warehouse) -> DataFrame:
-    return q.together([q.null_share(w.raw[t], f"raw_{t}", c) for t, c in NULL_SHARES.items()])
+    return _scan(w, share_measures())
 
 
 def distinct_keys(w: Warehouse) -> DataFrame:
@@ -245,10 +275,22 @@ def traceability(w: Warehouse) -> DataFrame:
     )
 
 
+def row_checks(w: Warehouse) -> DataFrame:
+    """All checks over single rows, null shares and sizes: every table is scanned once."""
+    return _scan(
+        w,
+        completeness_measures(),
+        accepted_measures(),
+        range_measures(),
+        tolerance_measures(),
+        size_measures(),
+        share_measures(),
+    )
+
+
 ALL = [
-    uniqueness, completeness, accepted_values, relationships, either_team_missing, ranges,
-    tolerances, game_consistency, minimum_rows, layer_sizes, null_shares, distinct_keys,
-    traceability,
+    row_checks, uniqueness, relationships, either_team_missing, game_consistency, layer_sizes,
+    distinct_keys, traceability,
 ]
 
 
