@@ -239,20 +239,20 @@ def near_duplicates(
     rows = written(_sketches(docs, shingle, bands, sampled, id_col, text_col), "sketches")
     distinct = rows.where("id is not null and copy is not null").groupBy("copy").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys"), F.min_by("bits", "id").alias("bits"), F.min("n").alias("n"))
     spread = distinct.select("node", "n", F.posexplode("keys").alias("band", "key"))
-    chosen = F.min_by("node", F.xxhash64("node", "band")).alias("first"), F.max_by("node", F.xxhash64("node", "band")).alias("second")
+    one = F.struct("node", "n")
+    chosen = F.min_by(one, F.xxhash64("node", "band")).alias("first"), F.max_by(one, F.xxhash64("node", "band")).alias("second")
     shared = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), *chosen).where("size > 1")
     members = written(spread.join(shared.drop("size"), ["band", "key"]), "members")
     close = F.least("n", "n_other") >= similarity * F.greatest("n", "n_other") - 1e-9
     ends = F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
-    size_of = members.select(F.col("node").alias("other"), F.col("n").alias("n_other")).distinct()
 
     asked = docs.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text")).where("text is not null")
     texts = asked.join(members.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
     texts = written(texts.dropDuplicates(), "candidate-texts")
 
     def star(center: str, among: DataFrame) -> DataFrame:
-        pairs = among.where(F.col("node") != F.col(center)).withColumn("other", F.col(center))
-        return pairs.join(size_of, "other").where(close).select(*ends).distinct()
+        pairs = among.withColumn("other", F.col(center).node).withColumn("n_other", F.col(center).n)
+        return pairs.where((F.col("node") != F.col("other")) & close).select(*ends).distinct()
 
     links = tried = labels = None
     for center in ("first", "second", None):
@@ -264,8 +264,9 @@ def near_duplicates(
             split = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band", "key")
             placed = placed.join(split, ["band", "key"])
             if center:
-                other = label.toDF(center, "there")
-                pairs = star(center, placed.join(other, center, "left").where(F.col("component") != F.coalesce("there", center)))
+                there = label.toDF("at", "there")
+                apart = placed.join(there, F.col(center).node == F.col("at"), "left").where(F.col("component") != F.coalesce("there", F.col(center).node))
+                pairs = star(center, apart)
             else:
                 pairs = _possible(placed.join(distinct.select("node", "bits"), "node"), block, similarity)
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
