@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harness import adapter, oracle, payloads
 from sabermill.functions import coerce
 from sabermill.operators import merge, quality, sinks
-from sabermill.plans import boards, intermediate, suite
+from sabermill.plans import boards, intermediate, loads, suite
 from sabermill.plans.warehouse import MARTS, Warehouse
 from sabermill.schemas import DEFAULTS, KEYS, PITCH_KEY
 from sabermill.session import fresh_path
@@ -546,6 +546,96 @@ add("S9_flatten_pitching",
     FROM ({_LINE_SQL}) WHERE n <> 6""")
 
 
+# ---------------------------------------------------------------- landed loads
+
+# Where the key of a document lies; documents of every 11th key land cut off.
+_LOADS = {
+    "teams": (payloads.teams, "$.teams[0].id"),
+    "players": (payloads.people, "$.people[0].id"),
+    "games": (payloads.schedule, "$.dates[0].games[0].gamePk"),
+    "schedule": (payloads.schedule, "$.dates[0].games[0].gamePk"),
+    "batting_stats": (payloads.hitting, "$.player_id"),
+    "pitching_stats": (payloads.pitching, "$.player_id"),
+}
+
+
+def loaded(spark: SparkSession, sf_dir: str, table: str) -> loads.Load:
+    """Documents, some cut off, over a table that holds the rows with an even key already."""
+    make, path = _LOADS[table]
+    key = F.get_json_object("doc", path).cast("bigint")
+    cut = F.expr("left(doc, length(doc) - 3)")
+    documents = make(spark, sf_dir).select(F.when(key % 11 == 3, cut).otherwise(F.col("doc")).alias("doc"))
+    stored = adapter.raw_tables(spark, sf_dir)[table]
+    stored = stored.where(F.col(KEYS[table][0]) % 2 == 0)
+    if table == "teams":
+        stored = stored.withColumn("name", F.lit("stored"))
+    elif "status_detail" in stored.columns:
+        stored = stored.withColumn("status_detail", F.lit("stored"))
+    rosters = None
+    if table == "players":
+        rosters = landing.parse_payloads(payloads.rosters(spark, sf_dir), "doc", landing.ROSTER_PAYLOAD)
+    return loads.load(documents, "doc", table, stored, rosters)
+
+
+def merged_load(table: str) -> Build:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = loaded(spark, sf_dir, table).merged
+        return rows.withColumn("has_id", F.col("id").isNotNull()) if "id" in rows.columns else rows
+
+    return build
+
+
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each load read, couldn't read, and kept."""
+    return reduce(DataFrame.unionByName, [
+        loaded(spark, sf_dir, t).counts.select(F.lit(t).alias("table_name"), "*") for t in _LOADS
+    ])
+
+
+_STORED_GAME = "game_pk % 11 = 3 AND game_pk % 2 = 0"
+add("L1_load_teams", merged_load("teams"),
+    "team_id:i name:s team_code:s league_id:i division_name:s sport_id:i active:b",
+    """SELECT * REPLACE (CASE WHEN team_id % 4 = 1 THEN 11 ELSE 1 END AS sport_id,
+      team_id % 3 = 0 OR active AS active) FROM raw_teams WHERE team_id % 11 <> 3
+    UNION ALL SELECT * REPLACE ('stored' AS name) FROM raw_teams
+    WHERE team_id % 11 = 3 AND team_id % 2 = 0""")
+add("L2_load_schedule", merged_load("schedule"),
+    """game_pk:i game_date:t season:i status_code:s status_detail:s home_team_id:i
+    scheduled_innings:i has_id:b""",
+    f"""SELECT *, true AS has_id FROM (
+    SELECT * REPLACE (CASE WHEN game_pk % 3 = 0 THEN 7 ELSE 9 END AS scheduled_innings,
+      {_LANDED_STATUS} AS status_code) FROM raw_schedule WHERE game_pk % 11 <> 3
+    UNION ALL SELECT * REPLACE ('stored' AS status_detail) FROM raw_schedule
+    WHERE {_STORED_GAME})""")
+add("L3_load_games", merged_load("games"),
+    "game_pk:i game_date:t season:i status_code:s status_detail:s home_score:i innings:i",
+    f"""SELECT * REPLACE ({_INNINGS_SQL} AS innings, {_LANDED_STATUS} AS status_code)
+    FROM raw_games WHERE {_LANDED_STATUS} IN ('F', 'FT', 'FR', 'FO') AND game_pk % 11 <> 3
+    UNION ALL SELECT * REPLACE ('stored' AS status_detail) FROM raw_games
+    WHERE game_pk % 2 = 0 AND (game_pk % 11 = 3
+      OR {_LANDED_STATUS} NOT IN ('F', 'FT', 'FR', 'FO'))""")
+
+
+def _load_count_sql(table: str, documents: str, key: str, rows: str) -> str:
+    return f"""SELECT '{table}' AS table_name, count(*) AS documents,
+      count(*) FILTER ({key} % 11 = 3) AS unreadable,
+      count(*) FILTER ({key} % 11 <> 3 AND {rows}) AS rows, 0 AS incomplete,
+      count(*) FILTER ({key} % 11 <> 3 AND {rows}) AS kept FROM {documents}"""
+
+
+add("L4_load_counts", load_counts,
+    "table_name:s documents:i unreadable:i rows:i incomplete:i kept:i",
+    " UNION ALL ".join([
+        _load_count_sql("teams", "raw_teams", "team_id", "true"),
+        _load_count_sql("players", "raw_players", "player_id", "true"),
+        _load_count_sql("games", "raw_games", "game_pk",
+                        f"{_LANDED_STATUS} IN ('F', 'FT', 'FR', 'FO')"),
+        _load_count_sql("schedule", "raw_schedule", "game_pk", "true"),
+        _load_count_sql("batting_stats", "lineitem", "l_partkey", "l_linenumber <> 6"),
+        _load_count_sql("pitching_stats", "lineitem", "(l_orderkey // 10)", "l_linenumber <> 6"),
+    ]))
+
+
 def _texts(spark: SparkSession, sf_dir: str, text: Column, parsed: Callable) -> DataFrame:
     """How many texts per flag are readable, and their sum."""
     rows = adapter.table(spark, sf_dir, "lineitem").select("l_returnflag", text.alias("text"))
