@@ -13,6 +13,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from harness import fillers
 from sabermill.schemas import raw_schema
 
 # Division names in the long form, by number.
@@ -344,7 +345,10 @@ def statcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     return _lines(spark, sf_dir).select(
         *[
-            _typed(known.get(field.name, F.lit(None)), field.dataType).alias(field.name)
+            _typed(
+                known[field.name] if field.name in known else fillers.value(field.name),
+                field.dataType,
+            ).alias(field.name)
             for field in raw_schema("statcast")
         ]
     )

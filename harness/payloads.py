@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harness import adapter
+from harness import adapter, fillers
 from harness.adapter import div, table
 
 
@@ -184,9 +184,16 @@ def pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _person_stats(spark, sf_dir, "pitching", player, stat)
 
 
+# Columns with values of their own below, and columns that do not land at all.
+_LANDED_OWN = """game_pk game_date game_year batter pitcher batter_name events description zone
+    launch_speed launch_angle at_bat_number pitch_number""".split()
+_ABSENT = ["pitcher_name", "inning", "release_extension"]
+LANDED_REST = [c for c in fillers.KINDS if c not in (*_LANDED_OWN, *_ABSENT)]
+
+
 def landed_pitches(lines: DataFrame) -> DataFrame:
     """A pitch frame as it lands: floats for whole numbers, NaN for missing, dates with times,
-    an unknown column, and most known columns absent. Works on a stream as on a table."""
+    an unknown column, and some known columns absent. Works on a stream as on a table."""
     q, n = F.col("l_quantity"), F.col("l_linenumber")
     part = F.col("l_partkey")
     missing = F.lit(float("nan"))
@@ -206,5 +213,6 @@ def landed_pitches(lines: DataFrame) -> DataFrame:
         (part % 800 - 200).cast("double").alias("launch_angle"),
         n.cast("double").alias("at_bat_number"),
         (part % 6 + 1).cast("double").alias("pitch_number"),
+        *[fillers.value(c, floating=True).alias(c) for c in LANDED_REST],
         F.lit("x").alias("unknown_column"),
     )

@@ -8,7 +8,7 @@ from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from harness import adapter, oracle, payloads
+from harness import adapter, fillers, oracle, payloads
 from sabermill.functions import coerce
 from sabermill.operators import merge, quality, sinks
 from sabermill.plans import boards, intermediate, loads, suite
@@ -127,6 +127,23 @@ add("P5_stg_batting_stats", on(lambda w: w.stg_batting_stats), STG_BATTING_SPEC,
 add("P6_stg_pitching_stats", on(lambda w: w.stg_pitching_stats), STG_PITCHING_SPEC,
     "SELECT * FROM raw_pitching_stats")
 add("P7_stg_statcast", on(lambda w: w.stg_statcast), PITCH_SPEC, PITCH_SQL)
+# Pitch columns that no given table has, as they are called in the staged view.
+_STAGED_REST = {
+    "pitcher_name": "pitcher_name", "pitch_name": "pitch_name",
+    "release_extension": "release_extension", "release_pos_x": "release_pos_x",
+    "release_pos_z": "release_pos_z", "pfx_z": "vertical_movement", "plate_x": "plate_x",
+    "plate_z": "plate_z", "vx0": "vx0", "vy0": "vy0", "vz0": "vz0", "ax": "ax", "ay": "ay",
+    "az": "az", "sz_top": "strike_zone_top", "sz_bot": "strike_zone_bottom",
+    "effective_speed": "effective_speed", "hc_x": "hit_coord_x", "hc_y": "hit_coord_y",
+    "launch_speed_angle": "launch_speed_angle_bucket", "inning_topbot": "inning_half",
+    "outs_when_up": "outs", "on_1b": "runner_on_1b_id", "on_2b": "runner_on_2b_id",
+    "on_3b": "runner_on_3b_id", "if_fielding_alignment": "infield_alignment",
+    "of_fielding_alignment": "outfield_alignment",
+}
+add("P7_stg_statcast_rest", on(lambda w: w.stg_statcast),
+    " ".join(f"{shown}:{fillers.KINDS[raw]}" for raw, shown in _STAGED_REST.items()),
+    "SELECT " + ", ".join(f"{fillers.sql(raw)} AS {shown}" for raw, shown in _STAGED_REST.items())
+    + " FROM lineitem")
 add("P8_dim_teams", on(lambda w: w.dim_teams), TEAM_SPEC, TEAM_SQL)
 
 RESULT_SPEC = """game_pk:i game_type:s season:i game_date:t is_home:b team_id:i opponent_id:i
@@ -695,6 +712,14 @@ add("S14_complete_pitches", lambda spark, sf: pitches.pitch_rows(landed_pitches(
     LANDED_SPEC, _COMPLETE_SQL)
 
 
+_REST_SPEC = " ".join(f"{c}:{fillers.KINDS[c]}" for c in payloads.LANDED_REST)
+_REST_SQL = "SELECT " + ", ".join(f"{fillers.sql(c)} AS {c}" for c in payloads.LANDED_REST)
+add("S13_coerce_pitches_rest", lambda spark, sf: pitches.coerce(
+        pitches.map_columns(landed_pitches(spark, sf))),
+    f"{_REST_SPEC} release_extension:d1",
+    f"{_REST_SQL}, NULL AS release_extension FROM lineitem")
+
+
 def games_per_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks over the span of the schedule and how many games fall in each."""
     games = adapter.raw_table(spark, sf_dir, "schedule")
@@ -766,11 +791,15 @@ def appended_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "pitches")
     for _ in range(2):
         sinks.append(adapter.raw_table(spark, sf_dir, "statcast"), path, partition_by="game_year")
-    return _counted(spark.read.parquet(path), "game_year")
+    return warehouse_over(spark, sf_dir, statcast=spark.read.parquet(path)).stg_statcast
+
+
+def warehouse_over(spark: SparkSession, sf_dir: str, **tables: DataFrame) -> Warehouse:
+    return Warehouse({**adapter.raw_tables(spark, sf_dir), **tables})
 
 
-add("K1_append", appended_twice, "game_year:i n:i",
-    "SELECT game_year, 2 * count(*) AS n FROM raw_statcast GROUP BY ALL")
+add("K1_append", appended_twice, PITCH_SPEC,
+    f"SELECT * FROM ({PITCH_SQL}) UNION ALL SELECT * FROM ({PITCH_SQL})")
 
 
 def schedule_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -854,8 +883,8 @@ add("K5_compound_keys", compound_key_upsert, "season:i keyed:b n:i rbi:i hits:i"
     GROUP BY season""")
 add("K6_view", lambda spark, sf: sinks.replace_view(
         warehouse(spark, sf).stg_games, "sabermill_stg_games").sparkSession.sql(
-        "SELECT season, count(*) AS n FROM sabermill_stg_games GROUP BY season"),
-    "season:i n:i", "SELECT season, count(*) AS n FROM raw_games GROUP BY season")
+        "SELECT * FROM sabermill_stg_games"),
+    GAME_SPEC, f"SELECT *, {STATUS} FROM raw_games")
 add("K7_table", lambda spark, sf: sinks.replace_table(
         warehouse(spark, sf).int_statcast_metrics, fresh_path(spark, "metrics")),
     CONTACT_SPEC, "SELECT * FROM contact")
