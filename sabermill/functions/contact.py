@@ -10,6 +10,8 @@ from sabermill.functions.rates import mean, rate
 HARD_HIT_SPEED = 95
 BARREL_SPEED = 98
 BARREL_ANGLES = (26, 30)
+# What the metrics read of a batted ball.
+MEASURES = ["exit_velocity", "launch_angle", "expected_batting_avg", "expected_woba"]
 
 
 def hard_hit() -> Column:
@@ -29,7 +31,7 @@ def totals() -> list[Column]:
         F.max("exit_velocity").alias("max_exit_velocity"),
         *[
             column
-            for source in ("exit_velocity", "launch_angle", "expected_batting_avg", "expected_woba")
+            for source in MEASURES
             for column in (
                 F.sum(source).alias(f"{source}_sum"),
                 F.count(source).alias(f"{source}_n"),

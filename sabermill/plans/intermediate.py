@@ -110,18 +110,20 @@ def contact_metrics(pitches: DataFrame, role: str) -> DataFrame:
 
 
 def int_statcast_metrics(pitches: DataFrame) -> DataFrame:
-    """Batted-ball metrics of both roles from one scan of the pitches."""
-    grouped = _batted_balls(pitches).groupingSets(
-        [["batter_id", "season"], ["pitcher_id", "season"]], "batter_id", "pitcher_id", "season"
-    )
-    is_pitcher = F.grouping("batter_id") == 1
-    return grouped.agg(is_pitcher.alias("_pitching"), *contact.totals()).select(
-        F.when(F.col("_pitching"), F.col("pitcher_id"))
-        .otherwise(F.col("batter_id"))
-        .alias("player_id"),
-        "season",
-        F.when(F.col("_pitching"), PITCHER).otherwise(BATTER).alias("player_role"),
-        *contact.summary(),
+    """Batted-ball metrics of both roles from one scan of the pitches.
+
+    Both views of a pitch come from a generator: unlike grouping sets it lets a filter on the
+    season pass on to the pitches.
+    """
+    sides = [
+        {"player_id": F.col(f"{role}_id"), "player_role": F.lit(role)}
+        for role in (BATTER, PITCHER)
+    ]
+    return (
+        views_of_each_row(_batted_balls(pitches), ["season", *contact.MEASURES], sides)
+        .groupBy("player_id", "season", "player_role")
+        .agg(*contact.totals())
+        .select("player_id", "season", "player_role", *contact.summary())
     )
 
 
