@@ -1,8 +1,10 @@
 """Main text of web pages, by markup and by differences between neighbouring pages of a host.
 
 Pages are ordered by (host, path) and dealt to tasks by ranges of that order, so a large host is spread
-over many tasks. A page's partner is the page before it in the same host, at the edge of a host or a
-range the one after it. The lines of both are aligned by longest common subsequence, and lines that both
+over many tasks. Range bounds are keys of pages chosen by hash, a number bounded by that of ranges. A
+bound lies inside a host only if at least two of its pages are on either side, else the host stays
+whole, so a page has a neighbour in its range if its host has another page. A page's partner is the page before it in
+the same host and range, for the first one the page after it. The lines of both are aligned by longest common subsequence, and lines that both
 have are template text: they are deleted.
 
 Differences alone don't give the article: menus and footers differ from page to page, and articles
@@ -22,6 +24,7 @@ Extra columns are carried along; those named like a result column are replaced.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import groupby
@@ -36,6 +39,9 @@ from sabermill.llm.html_lines import ARTICLE, MAIN, OPEN, lines_of
 from sabermill.llm.tables import bundle, col, unbundle
 
 
+_KEYS_A_RANGE = 64
+
+
 def _row(a: list[str], b: list[str]) -> np.ndarray:
     """Length of the longest common subsequence of ``a`` and each beginning of ``b``."""
     places: dict[str, int] = {}
@@ -82,7 +88,19 @@ def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | Non
     return " ".join(kept), sum(k == OPEN for i, (_, k) in enumerate(lines) if i in shared)
 
 
-def extract(pages: DataFrame, *, ranges: int | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def range_bounds(keys: list[tuple[str, str]], ranges: int) -> list[str]:
+    """Bounds of ``ranges`` ranges among the sorted (host, key) of some pages."""
+    bounds = set()
+    for r in range(1, ranges):
+        i = r * len(keys) // ranges
+        if 2 <= i < len(keys) - 1:
+            host, key = keys[i]
+            inside = keys[i - 2][0] == host == keys[i + 1][0]
+            bounds.add(key if inside else host)
+    return sorted(bounds)
+
+
+def extract(pages: DataFrame, *, range_bytes: int = 8 << 20, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``pages`` without the HTML, with text, n_chars (code points) and n_shared (lines deleted as shared)."""
     url = F.coalesce(col(url_col), F.lit(""))
     address = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)", 1), F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)", 2)
@@ -90,8 +108,20 @@ def extract(pages: DataFrame, *, ranges: int | None = None, id_col: str = "page_
     rows = pages.select(
         F.lower(address[0]).alias("host"), address[1].alias("path"), col(id_col).alias("id"), col(url_col).alias("url"), col(html_col).alias("html"), bundle(pages, id_col, url_col, html_col, *result).alias("rest")
     )
-    order = ["host", "path", "url", "id"]
-    dealt = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+    # One text that sorts as (host, path, url, id) do; the characters between sort before any other.
+    key = F.concat_ws("\x00", "host", "path", F.coalesce("url", F.lit("")), F.coalesce(F.lpad(F.col("id").cast("string"), 20, "0"), F.lit("")))
+    rows = rows.withColumn("key", key)
+    count, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("html").cast("long"))).first()
+    ranges = max(1, -(-(size or 0) // range_bytes))
+    every = max(1, count // (ranges * _KEYS_A_RANGE))
+    chosen = rows.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0).select("host", "key").limit(8 * ranges * _KEYS_A_RANGE)
+    bounds = range_bounds(sorted(tuple(r) for r in chosen.collect()), ranges) if ranges > 1 else []
+
+    @F.arrow_udf("int")
+    def range_of(keys: pa.Array) -> pa.Array:
+        return pa.array([bisect_right(bounds, k) for k in keys.to_pylist()], pa.int32())
+
+    dealt = rows.withColumn("range", range_of("key")).repartition(ranges, "range")
     schema = T.StructType([rows.schema["id"], rows.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("n_shared", T.LongType()), rows.schema["rest"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,9 +131,9 @@ def extract(pages: DataFrame, *, ranges: int | None = None, id_col: str = "page_
 
         def stream():
             for batch in batches:
-                hosts, pages_ = batch.column(0).to_pylist(), batch.column(4).to_pylist()
-                for i, (host, page) in enumerate(zip(hosts, pages_, strict=True)):
-                    yield host, page or "", batch, i
+                hosts, pages_, ranges_ = (batch.column(i).to_pylist() for i in (0, 4, 7))
+                for i, (host, page, own) in enumerate(zip(hosts, pages_, ranges_, strict=True)):
+                    yield (own, host), page or "", batch, i
 
         # A batch is complete when the page after its last one is known, so results come with a delay of one page.
         done: list[tuple[str, int]] = []
@@ -116,7 +146,7 @@ def extract(pages: DataFrame, *, ranges: int | None = None, id_col: str = "page_
 
         for _, own in groupby(stream(), key=lambda r: r[0]):
             before = held = None
-            for host, page, batch, i in own:
+            for (_, host), page, batch, i in own:
                 if before is None and held is None and host:
                     held = (page, batch, i)  # the first of its host waits for the second
                     continue
@@ -139,5 +169,5 @@ def extract(pages: DataFrame, *, ranges: int | None = None, id_col: str = "page_
         if current is not None:
             yield finish(current)
 
-    done = dealt.sortWithinPartitions(*order).mapInArrow(run, schema)
+    done = dealt.sortWithinPartitions("range", "key").mapInArrow(run, schema)
     return done.select(F.col("id").alias(id_col), F.col("url").alias(url_col), *result, *unbundle(done, pages, id_col, url_col, html_col, *result))
