@@ -9,25 +9,38 @@ from sabermill.llm.tables import written
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node with a link; a component is named by its smallest node.
+    """(node, component) for every node with a link to another; a component is named by its smallest node.
 
-    Every node takes the smallest label among its neighbours' and its own and then its label's
-    label, until the sum of all labels, which only falls, stands still. Labels are written after each
-    round, so a lost executor costs one round. The nodes with very many links are no special case:
-    minima combine before the shuffle, and the joins are split by adaptive execution.
+    In a round every node points to the smallest of its neighbours and itself, pointers are
+    followed to their ends by doubling, and the links are drawn between those ends; links inside a
+    component are gone. Every node that still has a link is joined with another, so the number of
+    nodes at least halves. Pointers and links are written after each step, so a lost executor costs
+    one step. A node with very many links is no special case: minima combine before the shuffle,
+    and adaptive execution splits the joins.
     """
-    both = links.select("a", "b").union(links.select("b", "a")).where("a <> b").distinct()
-    both = written(both.toDF("node", "other"), "links")
-    total = F.sum(F.col("component").cast("decimal(38,0)"))
-    labels = written(both.groupBy("node").agg(F.least("node", F.min("other")).alias("component")), "labels")
-    before = labels.agg(total).first()[0]
-    while before is not None:
-        seen = both.join(labels.toDF("other", "seen"), "other").groupBy("node").agg(F.min("seen").alias("seen"))
-        near = labels.join(seen, "node").select("node", F.least("component", "seen").alias("component"))
-        jump = labels.toDF("component", "further")
-        labels = written(near.join(jump, "component", "left").select("node", F.coalesce(F.least("component", "further"), "component").alias("component")), "labels")
-        now = labels.agg(total).first()[0]
-        if now == before:
-            break
-        before = now
+    total = F.sum(F.col("root").cast("decimal(38,0)"))
+    apart = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    links = written(links.where("a <> b").select(*apart).distinct(), "links")
+    labels = links.selectExpr("a as node", "a as component").limit(0)
+    first = True
+    while not links.isEmpty():
+        both = links.union(links.select("b", "a")).toDF("node", "other")
+        roots = written(both.groupBy("node").agg(F.least("node", F.min("other")).alias("root")), "roots")
+        before = roots.agg(total).first()[0]
+        while True:
+            ends = roots.join(roots.toDF("root", "end"), "root").select("node", F.col("end").alias("root"))
+            ends = written(ends, "roots")
+            now = ends.agg(total).first()[0]
+            if now == before:
+                break
+            roots, before = ends, now
+        if first:
+            labels, first = roots.toDF("node", "component"), False
+        else:
+            further = labels.join(roots.toDF("component", "root"), "component", "left")
+            labels = further.select("node", F.coalesce("root", "component").alias("component"))
+        labels = written(labels, "labels")
+        drawn = links.join(roots.toDF("a", "from"), "a").join(roots.toDF("b", "to"), "b")
+        drawn = drawn.where("from <> to").select(F.col("from").alias("a"), F.col("to").alias("b"))
+        links = written(drawn.select(*apart).distinct(), "links")
     return labels

@@ -203,12 +203,12 @@ def _possible(placed: DataFrame, block: int, similarity: float) -> DataFrame:
     own = placed.join(parts, bucket).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     meets = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     meets = meets.groupBy(*bucket, F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"))
-    grouped = meets.agg(F.collect_list(F.struct("part", "node", "component", "n", "bits")).alias("rows")).select("lo", "hi", "rows")
+    grouped = meets.agg(F.collect_list(F.struct("part", "node", "component", "n", "bits", "keys")).alias("rows")).select("band", "lo", "hi", "rows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
-            for lo, hi, rows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            for band, lo, hi, rows in zip(*[batch.column(i).to_pylist() for i in range(3)], batch.column(3), strict=True):
                 fields = rows.values.flatten()
                 part, node, component, n = (f.to_numpy(zero_copy_only=False) for f in fields[:4])
                 bits = np.frombuffer(b"".join(fields[4].to_pylist()), np.uint64).reshape(len(node), -1)
@@ -216,6 +216,10 @@ def _possible(placed: DataFrame, block: int, similarity: float) -> DataFrame:
                 good = may_be_similar(n[x], bits[x], n[y], bits[y], similarity)
                 good &= (component[x][:, None] < component[y][None]) if lo == hi else (component[x][:, None] != component[y][None])
                 i, j = np.nonzero(good)
+                # A pair that shares several bands is found in the first of them.
+                keys = fields[5].flatten().to_numpy().reshape(len(node), -1)
+                first = (keys[x[i]] == keys[y[j]]).argmax(axis=1) == band if len(i) else np.empty(0, bool)
+                i, j = i[first], j[first]
                 found.append(np.sort(np.stack([node[x[i]], node[y[j]]], axis=1), axis=1))
             both = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
@@ -268,7 +272,7 @@ def near_duplicates(
                 apart = placed.join(there, F.col(center).node == F.col("at"), "left").where(F.col("component") != F.coalesce("there", F.col(center).node))
                 pairs = star(center, apart)
             else:
-                pairs = _possible(placed.join(distinct.select("node", "bits"), "node"), block, similarity)
+                pairs = _possible(placed.join(distinct.select("node", "bits", "keys"), "node"), block, similarity)
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
