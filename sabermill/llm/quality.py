@@ -22,10 +22,12 @@ result column is replaced. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,7 +113,25 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size: int, cost: float, epochs: int) -> np.ndarray:
+class _Rows:
+    """Rows of places with the constant's place at the end, made when asked for; ``values`` beside them."""
+
+    def __init__(self, found: list[np.ndarray], chosen: np.ndarray, scales: np.ndarray, values: bool = False):
+        self.found, self.chosen, self.scales, self.as_values = found, chosen, scales, values
+        self.values = self if values else _Rows(found, chosen, scales, True)
+
+    def __len__(self) -> int:
+        return len(self.chosen)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        at = np.append(self.found[self.chosen[i]], len(self.scales) - 1)
+        if not self.as_values:
+            return at
+        x = self.scales[at].astype(np.float64)
+        return x / np.sqrt(x @ x)
+
+
+def descend(rows: Sequence[np.ndarray], values: Sequence[np.ndarray], y: np.ndarray, size: int, cost: float, epochs: int) -> np.ndarray:
     """Weights of the hinge-loss machine, by coordinate descent in the dual; rows have unit length."""
     weights, alpha = np.zeros(size), np.zeros(len(rows))
     draw = np.random.default_rng(0)
@@ -161,13 +181,9 @@ def fit(found: list[np.ndarray], y: np.ndarray, *, cost: float = 1.0, epochs: in
     for i in train:
         counts[int(y[i])][found[i]] += 1
     ratios = (np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())).astype(np.float32)
-    rows, values = [], []
-    for i in train:
-        x = np.append(ratios[found[i]].astype(np.float64), 1.0)
-        rows.append(np.append(found[i], size))
-        values.append(x / np.sqrt(x @ x))
     signs = np.where(y > 0, 1.0, -1.0)
-    weights = descend(rows, values, signs[train], size + 1, cost, epochs)
+    rows = _Rows(found, train, np.append(ratios, np.float32(1)))
+    weights = descend(rows, rows.values, signs[train], size + 1, cost, epochs)
     model = Model((weights[:size] * ratios).astype(np.float32), ratios, float(weights[size]), 1.0, 0.0)
     check = np.flatnonzero(held) if held.any() else train
     model.slope, model.offset = _calibrate(model.margins([found[i] for i in check]), signs[check])
@@ -195,11 +211,17 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["id", "y", "places"])
 
     id_type = rows.schema["id"].dataType.simpleString()
-    got = rows.mapInArrow(run, f"id {id_type}, y int, places array<int>").toArrow().sort_by([("id", "ascending"), ("y", "ascending")])
+    got = rows.mapInArrow(run, f"id {id_type}, y int, places array<int>").toArrow()
+    order = pc.sort_indices(got, [("id", "ascending"), ("y", "ascending")]).to_numpy()
+    y = got["y"].to_numpy().astype(np.int64)[order]
     places = got["places"].combine_chunks()
-    flat, sizes = places.flatten().to_numpy(), places.value_lengths().to_numpy()
-    found = np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
-    return fit(found, got["y"].to_numpy().astype(np.int64), **options)
+    del got
+    flat, offsets = places.values.to_numpy(), places.offsets.to_numpy()
+    found = [flat[offsets[i] : offsets[i + 1]] for i in order]
+    model = fit(found, y, **options)
+    del found, flat, places
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model, *, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
