@@ -5,7 +5,8 @@ at least ``threshold``. On unit vectors that is a Euclidean distance of at most
 
 1. Equal vectors of a label are one node with a count, so a vector that a third of all rows share is
    compared once.
-2. Nodes are dealt into cells around pivots, a sample of about ``max_pivots`` nodes. Pivots decide
+2. Nodes are dealt into cells around pivots, a sample of one node in half a block and of about ``max_pivots``
+   at most. Pivots decide
    which blocks can be passed over, never the result. Cells are cut by hash into blocks of about
    ``block_rows`` nodes.
 3. Pairs of blocks of a label whose pivots are further apart than both radii and the threshold are dropped;
@@ -102,7 +103,9 @@ def link_embeddings(vectors: DataFrame, *, threshold: float = 0.98, block_rows:
 
     pivots: dict = {}
     if total:
-        picked = nodes.where(F.pmod(F.xxhash64("no"), F.lit(max(1, total // max_pivots))) == 0).select("label", "vector").limit(2 * max_pivots)
+        # About one pivot for half a block, so that cells are no smaller than blocks.
+        every = max(1, block_rows // 2, total // max_pivots)
+        picked = nodes.where(F.pmod(F.xxhash64("no"), F.lit(every)) == 0).select("label", "vector").limit(2 * max_pivots)
         for r in picked.collect():  # bounded by twice max_pivots
             pivots.setdefault((r["label"], len(r["vector"])), []).append(r["vector"])
     pivots = {k: np.array(v) / np.linalg.norm(np.array(v), axis=1)[:, None] for k, v in pivots.items()}
