@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
-# Elements whose text is never content, elements that end a line, words in class, id or
-# role that name such parts, and elements with raw text.
-EXCLUDED = frozenset("nav header footer aside form head script style noscript template iframe svg button select textarea dialog menu object audio video canvas math".split())
+# Elements whose text is never content, elements that end a line, words that as a whole
+# token of class, id or role (or as every word of one) name such parts, longer tokens that do, and
+# elements with raw text.
+EXCLUDED = frozenset("nav header footer aside form script style noscript template iframe svg button select textarea dialog menu object audio video canvas math".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html"
     " legend li main menu nav ol option p pre section select summary table tbody td textarea tfoot th thead title tr ul".split()
@@ -17,48 +19,117 @@ PARTS = frozenset(
     " footer gdpr header login masthead menu menubar modal nav navbar navigation newsletter notice notices popup promo promoted promotion recommended related search share sharing"
     " sidebar signup social sponsor sponsored subscribe toolbar topbar widget".split()
 )
+TOKENS = frozenset(
+    "ad-container ad-slot ad-unit ad-wrapper comment-form comment-list comments-area cookie-bar main-menu main-nav main-navigation nav-bar related-articles related-links related-posts search-box"
+    " search-form share-buttons side-bar site-footer site-header site-nav site-navigation social-icons social-links".split()
+)
 RAW = frozenset("script style textarea title noscript template iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CONTENT = ("article", "main")
 
 _MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<[a-zA-Z/](?:[^<>\"']|\"[^\"]*\"|'[^']*')*>|<[!?][^>]*(?:>|\Z)", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-_MARKS = re.compile(r"""\b(class|id|role|hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
-_WORD = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+# Elements whose id may name a part; of others, and of a division that is a section, it names the topic.
+_NAMED = frozenset("center div dl ol table td ul".split())
+_SECTION = frozenset(("section", "chapter"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_SPECIAL = BLOCKS | {"applet", "colgroup", "hgroup", "marquee", "object", "search"}
+_SCOPE = frozenset("applet caption marquee object table td th".split())
+_ROWS = frozenset("caption colgroup table tbody td tfoot th thead tr".split())
 
 OPEN, ARTICLE, MAIN = 0, 1, 2
 
 
-def _is_part(tag: str) -> bool:
-    """Whether an opening tag's class, id or role names a part that isn't content."""
-    for name, value in _MARKS.findall(tag):
-        if name.lower() == "hidden" or not PARTS.isdisjoint(_WORD.findall(value.lower())):
-            return True
-    return False
+def _names_part(token: str) -> bool:
+    token = token.replace("_", "-")
+    return token in PARTS or token in TOKENS or ("-" in token and PARTS.issuperset(token.split("-")))
 
 
-def lines_of(page: str | None) -> list[tuple[str, int]]:
-    """Lines in page order, white space collapsed, none empty, with OPEN, ARTICLE or MAIN.
+def _is_part(name: str, tag: str) -> bool:
+    """Whether an opening tag's class, id, role or hiding says that the element isn't content."""
+    given: dict[str, str] = {}
+    for attribute, *values in _ATTRIBUTE.findall(tag, len(name) + 1, len(tag) - 1):
+        given.setdefault(attribute.lower(), "".join(values).lower())
+    if "hidden" in given or given.get("aria-hidden", "").strip() == "true":
+        return True
+    classes = given.get("class", "").split()
+    if any(map(_names_part, classes)) or any(map(_names_part, given.get("role", "").split())):
+        return True
+    return name in _NAMED and _SECTION.isdisjoint(classes) and _names_part(given.get("id", "").strip())
 
-    Text in excluded elements is no line. An element that is never closed reaches to the end of the
-    excluded part or content element around it.
-    """
-    page = page or ""
+
+class _Elements:
+    """The open elements, each with its place in the page and whether it is an excluded part."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, int, bool]] = []
+        self.open: Counter[str] = Counter()
+        self.parts = 0
+
+    def push(self, name: str, at: int, part: bool) -> None:
+        self.stack.append((name, at, part))
+        self.open[name] += 1
+        self.parts += part
+
+    def end(self, at: int, stop: int | None = None) -> None:
+        for name, _, part in self.stack[at:stop]:
+            self.open[name] -= 1
+            self.parts -= part
+        del self.stack[at:stop]
+
+    def find(self, names: frozenset[str], stops: frozenset[str], outermost: bool = False) -> int:
+        """Place of the innermost (or outermost) element so named that lies inside all of ``stops``, or -1."""
+        found = -1
+        if any(self.open[n] for n in names):
+            for i in range(len(self.stack) - 1, -1, -1):
+                name = self.stack[i][0]
+                if name in names:
+                    found = i
+                    if not outermost:
+                        break
+                elif name in stops:
+                    break
+        return found
+
+    def close(self, name: str) -> None:
+        """What an end tag ends: the element and what is still open in it."""
+        names = _HEADINGS if name in _HEADINGS else frozenset((name,))
+        if name in CONTENT:
+            stops = frozenset()
+        elif name in _ROWS:
+            stops = frozenset(("table",))
+        elif name == "form" or name not in _SPECIAL:
+            stops = frozenset() if name == "form" else _SCOPE
+            at = self.find(names, stops)
+            over = _SCOPE if name == "form" else _SPECIAL
+            if at >= 0 and any(n in over for n, _, _ in self.stack[at + 1 :]):
+                self.end(at, at + 1)  # badly nested: what is open in it stays open
+                return
+        else:
+            stops = _SCOPE | {"ol", "ul"} if name == "li" else _SCOPE | {"button"} if name == "p" else _SCOPE
+        at = self.find(names, stops)
+        if at >= 0:
+            self.end(at)
+
+
+def _scan(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[str, int]], list[tuple[tuple[int, int, int], frozenset[int]]]]:
+    """Lines, and for each content element its rank and the excluded parts around it; those in ``spared`` aren't excluded."""
     out: list[tuple[str, int]] = []
+    content: list[tuple[tuple[int, int, int], frozenset[int]]] = []
     parts: list[str] = []
-    inside = {"article": 0, "main": 0}
-    skipped, depth = "", 0  # the excluded element that is open, and how many of its name
+    elements = _Elements()
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((text, ARTICLE if inside["article"] else MAIN if inside["main"] else OPEN))
+            out.append((text, ARTICLE if elements.open["article"] else MAIN if elements.open["main"] else OPEN))
 
     at, end = 0, len(page)
     while at < end:
         found = _MARKUP.search(page, at)
-        if not skipped:
+        if not elements.parts:
             parts.append(page[at : found.start() if found else end])
         if not found:
             break
@@ -70,30 +141,46 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
         closing = tag[1] == "/"
         if not closing and name in RAW:
             close = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-            if not skipped and name not in EXCLUDED and name != "title":
-                parts.append(page[at : close.start() if close else end])
             at = close.end() if close else end
             continue
-        if skipped:
-            if name == skipped and not tag.endswith("/>"):
-                depth += -1 if closing else 1
-            if closing and name in inside and inside[name] and name != skipped:
-                depth = 0  # the content element around it ends
-            if depth == 0:
-                skipped = ""
-                if closing and name in inside:
-                    inside[name] = max(0, inside[name] - 1)
-            continue
         if name in BLOCKS:
             flush()
+        if name in ("html", "head", "body"):
+            continue
         if closing:
-            if name in inside:
-                inside[name] = max(0, inside[name] - 1)
-        elif name not in VOID and not tag.endswith("/>"):
-            if name in EXCLUDED or (name not in ("html", "body", "main") and _is_part(tag)):
-                flush()
-                skipped, depth = name, 1
-            elif name in inside:
-                inside[name] += 1
+            elements.close(name)
+            continue
+        if name == "form" and elements.open["form"]:
+            continue  # forms don't nest
+        if name in VOID or tag.endswith("/>"):
+            continue
+        part = name in EXCLUDED or (name != "main" and _is_part(name, tag))
+        if name in CONTENT and not part:
+            around = [(n, i) for n, i, is_part in elements.stack if is_part]
+            forms = sum(n == "form" for n, _ in around)
+            content.append(((len(around) - forms, CONTENT.index(name), forms), frozenset(i for _, i in around)))
+        part = part and found.start() not in spared
+        if part:
+            flush()
+        elements.push(name, found.start(), part)
     flush()
-    return out
+    return out, content
+
+
+def lines_of(page: str | None) -> list[tuple[str, int]]:
+    """Lines in page order, white space collapsed, none empty, with OPEN, ARTICLE or MAIN.
+
+    Text in excluded elements is no line. An element that is never closed reaches to the end of the
+    element around it. If the page's article (failing that, its main part) lies inside
+    excluded elements only, those around it aren't excluded: a form always, others unless more
+    text lies outside of all of them, as beside teasers or comments that are marked as articles.
+    """
+    page = page or ""
+    lines, content = _scan(page)
+    best = min((rank for rank, _ in content), default=(0, 0, 0))
+    if not best[0] + best[2]:
+        return lines
+    spared, _ = _scan(page, frozenset().union(*(around for rank, around in content if rank == best)))
+    if best[0] and sum(len(t) for t, k in spared if k != OPEN) < sum(len(t) for t, _ in lines):
+        return lines
+    return spared
