@@ -37,6 +37,23 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPECIAL = BLOCKS | {"applet", "colgroup", "hgroup", "marquee", "object", "search"}
 _SCOPE = frozenset("applet caption marquee object table td th".split())
 _ROWS = frozenset("caption colgroup table tbody td tfoot th thead tr".split())
+_ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li dd dt main menu nav ol p pre search section summary"
+    " table ul".split()
+)
+_P, _P_STOPS = frozenset("p"), _SCOPE | {"button"}
+_ITEM_STOPS = _SPECIAL - {"address", "div", "p"}
+# For the start of an element: the open ones that it ends (with all in them), and what keeps those open.
+_ENDS = {
+    "li": (frozenset(("li",)), _ITEM_STOPS),
+    **dict.fromkeys(("dd", "dt"), (frozenset(("dd", "dt")), _ITEM_STOPS)),
+    **dict.fromkeys(("td", "th"), (frozenset(("td", "th")), None)),
+    "tr": (frozenset("td th tr caption colgroup".split()), None),
+    **dict.fromkeys("tbody thead tfoot caption colgroup".split(), (_ROWS - {"table"}, None)),
+    "option": (frozenset(("option",)), _SPECIAL - {"option"}),
+    "optgroup": (frozenset(("option", "optgroup")), _SPECIAL - {"option"}),
+    **{n: (frozenset((n,)), _SCOPE) for n in ("button", "select")},
+}
 
 OPEN, ARTICLE, MAIN = 0, 1, 2
 
@@ -92,6 +109,20 @@ class _Elements:
                     break
         return found
 
+    def start(self, name: str) -> None:
+        """What a start tag ends: elements whose own end tag may be left out before it."""
+        if name in _ENDS:
+            names, stops = _ENDS[name]
+            at = self.find(names, stops or (frozenset(("table",)) if self.open["table"] else frozenset(CONTENT)), outermost=True)
+            if at >= 0:
+                self.end(at)
+        if name in _ENDS_P:
+            at = self.find(_P, _P_STOPS)
+            if at >= 0:
+                self.end(at)
+        if name in _HEADINGS and self.stack and self.stack[-1][0] in _HEADINGS:
+            self.end(len(self.stack) - 1)
+
     def close(self, name: str) -> None:
         """What an end tag ends: the element and what is still open in it."""
         names = _HEADINGS if name in _HEADINGS else frozenset((name,))
@@ -152,6 +183,7 @@ def _scan(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[s
             continue
         if name == "form" and elements.open["form"]:
             continue  # forms don't nest
+        elements.start(name)
         if name in VOID or tag.endswith("/>"):
             continue
         part = name in EXCLUDED or (name != "main" and _is_part(name, tag))
@@ -170,8 +202,8 @@ def _scan(page: str, spared: frozenset[int] = frozenset()) -> tuple[list[tuple[s
 def lines_of(page: str | None) -> list[tuple[str, int]]:
     """Lines in page order, white space collapsed, none empty, with OPEN, ARTICLE or MAIN.
 
-    Text in excluded elements is no line. An element that is never closed reaches to the end of the
-    element around it. If the page's article (failing that, its main part) lies inside
+    Text in excluded elements is no line. An element whose end tag is left out reaches to the next
+    tag that HTML says ends it, at the latest to the end of the element around it. If the page's article (failing that, its main part) lies inside
     excluded elements only, those around it aren't excluded: a form always, others unless more
     text lies outside of all of them, as beside teasers or comments that are marked as articles.
     """
