@@ -4,6 +4,10 @@ Before merging, such a tokenizer cuts a text where a single space stands between
 that are not white space, whatever is around it. So a batch is cut at exactly those places, equal
 pieces are found by Arrow's dictionary encoding, the distinct pieces go through the tokenizers
 library, and every text's ids are put together again from them: the ids of the whole text.
+
+With ``special_tokens`` the string of a special token in a text becomes its id, as in the library's
+plain call; without, it is ordinary text. A special token that holds white space, takes white space
+beside it or asks for word bounds could lie across a cut; then texts go through the library whole.
 """
 
 from __future__ import annotations
@@ -21,14 +25,14 @@ _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _LOW = np.arange(256) <= 0x20
 _JOINED_BYTES = 1 << 16
 
-_loaded: dict[str, ByteBpe] = {}
+_loaded: dict[tuple[str, bool], ByteBpe] = {}
 
 
-def encoder(path: str) -> ByteBpe:
+def encoder(path: str, special_tokens: bool = False) -> ByteBpe:
     """The encoder of a file, loaded once for each Python worker."""
-    if path not in _loaded:
-        _loaded[path] = ByteBpe(path)
-    return _loaded[path]
+    if (path, special_tokens) not in _loaded:
+        _loaded[path, special_tokens] = ByteBpe(path, special_tokens)
+    return _loaded[path, special_tokens]
 
 
 def vocabulary_size(path: str) -> int:
@@ -38,12 +42,14 @@ def vocabulary_size(path: str) -> int:
 
 
 class ByteBpe:
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_tokens
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.cuts = not any((special_tokens or not t.special) and (t.lstrip or t.rstrip or t.single_word or any(c.isspace() for c in t.content)) for t in added)
         size = self.tokenizer.get_vocab_size()
         pieces = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
@@ -113,7 +119,7 @@ class ByteBpe:
         at = at[(at > 0) & (at < n - 1)]
         before, after = raw[at - 1], raw[at + 1]
         cut = ~_LOW[before] & ~_LOW[after] & ~_LEADS[after]
-        cut &= ~_LEADS[raw[np.maximum(at - 2, 0)]] & ~_LEADS[raw[np.maximum(at - 3, 0)]]
+        cut &= ~_LEADS[raw[np.maximum(at - 2, 0)]] & ~_LEADS[raw[np.maximum(at - 3, 0)]] & self.cuts
         begins = np.zeros(n, bool)
         begins[at[cut]] = True
         begins[(ends - sizes)[sizes > 0]] = True

@@ -40,7 +40,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = fresh_path(spark, "token-files")
-    write_tokens(table(spark, sf_dir, "documents"), path, BYTE_BPE)
+    write_tokens(table(spark, sf_dir, "documents"), path, BYTE_BPE, special_tokens=True)
     return read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
@@ -70,7 +70,7 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document."""
-    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, special_tokens=True)
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

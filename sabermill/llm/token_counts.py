@@ -46,8 +46,11 @@ def _lines(raw: np.ndarray, char_at: np.ndarray, text_at: np.ndarray, ends: np.n
     return owner, char_at[starts] - base, char_at[stops] - base
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, *, spans_col: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each section: doc_id, section (0, 1, ... in given order), begin, end, n_tokens, n_crossing."""
+def count_tokens(docs: DataFrame, tokenizer: str, *, spans_col: str | None = None, id_col: str = "doc_id", text_col: str = "text", special_tokens: bool = False) -> DataFrame:
+    """A row for each section: doc_id, section (0, 1, ... in given order), begin, end, n_tokens, n_crossing.
+
+    With ``special_tokens`` the tokens are those of the library's plain call.
+    """
     picked = [col(id_col).alias("doc_id"), col(text_col).alias("text")]
     if spans_col:
         picked += [F.transform(col(spans_col), lambda s: s.begin.cast("long")).alias("begins"), F.transform(col(spans_col), lambda s: s.end.cast("long")).alias("ends")]
@@ -55,7 +58,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, spans_col: str | None = Non
     schema = T.StructType([rows.schema["doc_id"], T.StructField("section", T.LongType()), *[T.StructField(n, T.LongType()) for n in ("begin", "end", "n_tokens", "n_crossing")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer)
+        bpe = encoder(tokenizer, special_tokens)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for first, ids, counts in bpe.encode(texts):

@@ -56,13 +56,13 @@ def _stretches(sizes: np.ndarray, bound: int) -> list[tuple[int, int]]:
     return list(zip(cuts.tolist(), [*cuts[1:].tolist(), len(sizes)], strict=True))
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", special_tokens: bool = False) -> DataFrame:
     """doc id, n_tokens (end id included) and ids (little-endian unsigned, 2 or 4 bytes each)."""
     pairs = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     schema = T.StructType([pairs.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(tokenizer)
+        bpe = encoder(tokenizer, special_tokens)
         for batch in batches:
             for first, ids, counts in bpe.encode(batch.column(1).to_pylist()):
                 ended = np.empty(len(ids) + len(counts), bpe.dtype)
@@ -89,11 +89,13 @@ def write_tokens(
     part_tokens: int = 1 << 22,
     id_col: str = "doc_id",
     text_col: str = "text",
+    special_tokens: bool = False,
 ) -> None:
+    """Token files at ``path``; with ``special_tokens`` the ids are those of the library's plain call."""
     spark = docs.sparkSession
     size = vocabulary_size(tokenizer)
     dtype = "<u2" if size <= 1 << 16 else "<u4"
-    tokens = written(encode_documents(docs, tokenizer, end_id, id_col, text_col), "tokens", compression="zstd")
+    tokens = written(encode_documents(docs, tokenizer, end_id, id_col, text_col, special_tokens), "tokens", compression="zstd")
 
     # Ranges of the id with about as many ids of tokens each: quantiles, as many as parts.
     total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
