@@ -8,8 +8,11 @@ counted and order kept. Classes are the connected components of links.
 1. **Sketch.** For each of ``bands`` hash functions the ``sampled`` smallest occurrence-labelled shingles
    (the second "x" differs from the first) are put in their order in the text; their joint hash is the
    band's key. Equal keys need equal minima in equal order, so keys agree the more often the closer
-   the edit similarity: with 24 bands of 4 at similarity 0.8, a pair shares no band with probability
-   0.000003.
+   the edit similarity: with 24 bands of 4, a pair of long texts at similarity 0.8 shares no band with
+   probability 0.000003; with few shingles it is more, 0.00002 for 12 against 15. So short texts
+   have exact keys beside the bands: their shingle sequences with none, one or two left out. Of a
+   pair whose shorter text has at most 11 shingles, similarity 0.8 leaves no more than two unmatched
+   in both together, so such a pair always shares a key and is never missed.
 2. **Exact copies** are grouped by a 128-bit fingerprint of the text; one of each stands for all.
 3. **Stars.** Documents of a bucket are compared with one of them, chosen by hash, in two rounds of
    different choice; the second skips what the first connected. That is linear in the bucket, however
@@ -33,6 +36,8 @@ not read. An empty table gives no rows. A very long text is sketched and aligned
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +52,8 @@ from sabermill.llm.word_windows import Words, mixed
 _BATCH_BYTES = 1 << 21
 _CELLS = 1 << 20
 _BITS = 2048
+_SHORT = 11
+_LEFT_OUT = 2
 
 
 def shingles_of(texts: list[str | None], size: int) -> list[np.ndarray]:
@@ -94,6 +101,33 @@ def sketch(shingles: np.ndarray, bands: int, sampled: int) -> np.ndarray:
     return keys
 
 
+@lru_cache(maxsize=256)
+def _left(n: int, similarity: float) -> list[np.ndarray]:
+    """Places that stay, by rows, if a short text of ``n`` shingles leaves some out for a pair's sake."""
+    def unmatched(m: int) -> int:
+        return int(m * (1 - similarity) / similarity + 1e-9)
+
+    short = max((m for m in range(_SHORT + 1) if unmatched(m) <= _LEFT_OUT), default=0)
+    out = []
+    for missing in range(min(n, _LEFT_OUT + 1)):
+        # What stays is what both match, so it is no longer than the shorter text.
+        if n - missing <= short and unmatched(n - missing) >= max(missing, 1):
+            out.append(np.array(list(combinations(range(n), n - missing))))
+    return out
+
+
+def short_keys(shingles: np.ndarray, similarity: float) -> np.ndarray:
+    """Keys of a short text, of which it shares one with every similar text if either has at most 11 shingles."""
+    found = [np.empty(0, np.uint64)]
+    if len(shingles) * similarity <= _SHORT + 1e-9:
+        for places in _left(len(shingles), similarity):
+            key = np.zeros(len(places), np.uint64)
+            for i in range(places.shape[1]):
+                key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + shingles[places[:, i]])
+            found.append(key)
+    return np.unique(np.concatenate(found))
+
+
 def signature(shingles: np.ndarray) -> bytes:
     """The bits that the labelled shingles set."""
     bits = np.zeros(_BITS, bool)
@@ -146,7 +180,7 @@ def similar(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return min(len(a), len(b)) >= need and matched(a, b, need) >= need
 
 
-def _sketches(docs: DataFrame, shingle: int, bands: int, sampled: int, id_col: str, text_col: str) -> DataFrame:
+def _sketches(docs: DataFrame, shingle: int, similarity: float, bands: int, sampled: int, id_col: str, text_col: str) -> DataFrame:
     text = col(text_col)
     rows = docs.select(col(id_col).cast("long").alias("id"), F.unhex(F.md5(text)).alias("copy"), text.alias("text"))
     schema = "id long, copy binary, n long, keys array<long>, bits binary"
@@ -158,11 +192,11 @@ def _sketches(docs: DataFrame, shingle: int, bands: int, sampled: int, id_col: s
             for a, b in _stretches(texts):
                 for own in shingles_of(texts[a:b], shingle):
                     counts.append(len(own))
-                    keys.append(sketch(own, bands, sampled) if len(own) else None)
+                    keys.append(np.concatenate([sketch(own, bands, sampled), short_keys(own, similarity)]) if len(own) else None)
                     bits.append(signature(own) if len(own) else None)
             none = pa.array([k is None for k in keys])
             flat = np.concatenate([np.empty(0, np.uint64), *[k for k in keys if k is not None]]).view(np.int64)
-            offsets = np.concatenate([[0], np.cumsum([0 if k is None else bands for k in keys])]).astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum([0 if k is None else len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             copy = pc.if_else(none, pa.scalar(None, pa.binary()), batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), copy, pa.array(counts, pa.int64()), lists, pa.array(bits, pa.binary())], ["id", "copy", "n", "keys", "bits"])
@@ -216,9 +250,10 @@ def _possible(placed: DataFrame, block: int, similarity: float) -> DataFrame:
                 good = may_be_similar(n[x], bits[x], n[y], bits[y], similarity)
                 good &= (component[x][:, None] < component[y][None]) if lo == hi else (component[x][:, None] != component[y][None])
                 i, j = np.nonzero(good)
-                # A pair that shares several bands is found in the first of them.
+                # A pair that shares several bands is found in the first of them, else by its exact keys.
                 keys = fields[5].flatten().to_numpy().reshape(len(node), -1)
-                first = (keys[x[i]] == keys[y[j]]).argmax(axis=1) == band if len(i) else np.empty(0, bool)
+                equal = keys[x[i]] == keys[y[j]]
+                first = np.where(equal.any(axis=1), equal.argmax(axis=1), keys.shape[1]) == band
                 i, j = i[first], j[first]
                 found.append(np.sort(np.stack([node[x[i]], node[y[j]]], axis=1), axis=1))
             both = np.unique(np.concatenate(found), axis=0)
@@ -240,9 +275,10 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, class_id (smallest id of the class), kept (it is that one) and n_shingles, for every row."""
     spark = docs.sparkSession
-    rows = written(_sketches(docs, shingle, bands, sampled, id_col, text_col), "sketches")
+    rows = written(_sketches(docs, shingle, similarity, bands, sampled, id_col, text_col), "sketches")
     distinct = rows.where("id is not null and copy is not null").groupBy("copy").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys"), F.min_by("bits", "id").alias("bits"), F.min("n").alias("n"))
-    spread = distinct.select("node", "n", F.posexplode("keys").alias("band", "key"))
+    # The exact keys of short texts, after those of the bands, are one band: they have no order.
+    spread = distinct.select("node", "n", F.posexplode("keys").alias("band", "key")).withColumn("band", F.least("band", F.lit(bands)))
     one = F.struct("node", "n")
     chosen = F.min_by(one, F.xxhash64("node", "band")).alias("first"), F.max_by(one, F.xxhash64("node", "band")).alias("second")
     shared = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("size"), *chosen).where("size > 1")
@@ -272,7 +308,7 @@ def near_duplicates(
                 apart = placed.join(there, F.col(center).node == F.col("at"), "left").where(F.col("component") != F.coalesce("there", F.col(center).node))
                 pairs = star(center, apart)
             else:
-                pairs = _possible(placed.join(distinct.select("node", "bits", "keys"), "node"), block, similarity)
+                pairs = _possible(placed.join(distinct.select("node", "bits", F.slice("keys", 1, bands).alias("keys")), "node"), block, similarity)
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
