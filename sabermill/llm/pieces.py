@@ -2,8 +2,9 @@
 
 A text is marked (a space in front, every space as U+2581) and cut before each run of marks and around
 line feeds; no piece of the model reaches over such a cut, so words can be encoded alone. The distinct
-marked words of a batch are sorted, which lists a trie depth-first: a word takes over the
-forward states of the prefix it shares with the word before and only continues from there.
+marked words of a batch that a bounded table of earlier words lacks are sorted, which lists a trie
+depth-first: a word takes over the forward states of the prefix it shares with the word before and only
+continues from there.
 
 The public models at hand are of the byte-pair kind, for which the best sum of scores, the usual
 forward score, is not what the library returns. The forward state of a prefix is therefore the last piece of
@@ -20,6 +21,8 @@ result column are replaced. No row is shuffled.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -30,6 +33,8 @@ from sabermill.llm.tables import col
 
 _MARK = "▁"
 _PAIRS = 1 << 20
+# Words whose ids a Python worker keeps from batch to batch, and their greatest length in characters.
+_WORDS, _WORD_CHARS = 1 << 18, 64
 # The words of so much text are held at once.
 _BATCH_BYTES = 1 << 24
 
@@ -56,11 +61,17 @@ class PieceModel:
         self.ids = {names[i]: i for i in plain}
         self.names = names
         self.scores = [file.get_score(i) for i in range(size)]
-        self.longest = max(map(len, self.ids))
+        # Lengths of the pieces that end in the same three characters, the longest first; shorter pieces always count.
+        sizes: dict[str, set[int]] = {}
+        for name in self.ids:
+            if len(name) > 2:
+                sizes.setdefault(name[-3:], {1, 2}).add(len(name))
+        self.sizes = {tail: sorted(found, reverse=True) for tail, found in sizes.items()}
         if any(_MARK in n.lstrip(_MARK) or ("\n" in n and n != "\n") for n in self.ids):
             raise ValueError("a piece reaches over the start of a word")
         self.whole: dict[int, bool] = {}
         self.follows: dict[int, bool] = {}
+        self.words: dict[str, list[int]] = {}
         # What each id decodes to.
         surface = [b""] * size
         for i in plain:
@@ -100,7 +111,7 @@ class PieceModel:
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """Ids of each of the sorted ``words``."""
-        ids, longest = self.ids, self.longest
+        ids, lengths, short = self.ids, self.sizes, [2, 1]
         follows = self.follows
         sizes, last = [0], [-1]  # of the prefixes of the word before: its last piece and that one's length
         before, out = "", []
@@ -110,13 +121,16 @@ class PieceModel:
                 shared += 1
             del sizes[shared + 1 :], last[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
+                for size in lengths.get(word[end - 3 : end], short) if end > 2 else short[-end:]:
+                    begin = end - size
+                    if begin < 0:
+                        continue
                     piece = ids.get(word[begin:end])
                     if piece is not None:
                         state = last[begin]
                         known = follows.get(state << 32 | piece) if state >= 0 else self.whole.get(piece)
                         if known or (known is None and self.may_follow(state, piece)):
-                            sizes.append(end - begin)
+                            sizes.append(size)
                             last.append(piece)
                             break
                 else:
@@ -137,6 +151,17 @@ class PieceModel:
             before = word
         return out
 
+    def ids_of(self, words: list[str]) -> list[list[int]]:
+        """Ids of each of the distinct ``words``; those not met in earlier batches are sorted into a trie."""
+        known = self.words
+        new = sorted(w for w in words if w not in known)
+        fresh = dict(zip(new, self.segment(new), strict=True))
+        found = [known[w] if w in known else fresh[w] for w in words]
+        if len(known) + len(new) > _WORDS:
+            known.clear()
+        known.update((w, fresh[w]) for w in new[:_WORDS] if len(w) <= _WORD_CHARS)
+        return found
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
         raws = [(" " + t.replace(_MARK, " ")).encode() if t else b"" for t in texts]
@@ -153,13 +178,10 @@ class PieceModel:
         cut = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int32)), pa.py_buffer(raw)])
         coded = pc.dictionary_encode(cut)
         words = [w.decode().replace(" ", _MARK) for w in coded.dictionary.to_pylist()]
-        order = sorted(range(len(words)), key=words.__getitem__)
-        found = self.segment([words[i] for i in order])
-        lengths = np.empty(len(words), np.int64)
-        lengths[order] = [len(f) for f in found]
-        flat = np.fromiter((i for f in found for i in f), np.int32)
-        first = np.empty(len(words), np.int64)
-        first[order] = np.cumsum(lengths[order]) - lengths[order]
+        found = self.ids_of(words)
+        lengths = np.array([len(f) for f in found], np.int64)
+        flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        first = np.cumsum(lengths) - lengths
         codes = coded.indices.to_numpy()
         own = lengths[codes]
         running = np.concatenate([[0], np.cumsum(own)])
@@ -203,7 +225,7 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def run(lists: pa.Array) -> pa.Array:
         counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = lists.flatten().fill_null(0).to_numpy(zero_copy_only=False)
+        flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
         found = model(path)
         inside = (flat >= 0) & (flat < len(found.names))
         # Ids outside the model stand for a control piece, which has no surface.
