@@ -22,7 +22,9 @@ def test_written_models_equal_lazy_ones(spark, rows):
         assert rows(written.model(name)) == rows(lazy.model(name).select(*written.model(name).columns))
     assert all("parquet" in str(written.model(n).inputFiles()) for n in [*INTERMEDIATE, *MARTS])
     verdicts = suite.every_check(written).collect()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the plan shortens locations
     plan = suite.row_checks(written)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     for name in ("fct_statcast_leaders", "int_player_season_pitching", "int_team_standings"):
         assert plan.count(f"/{name}]") == 1, name
     declared = {(v["check"], v.table_name, v.column_name) for v in verdicts}
