@@ -10,13 +10,16 @@ from sabermill.llm.chat import digests, format_chats, log_of
 from sabermill.llm.decontaminate import decontaminate
 from sabermill.llm.embeddings import link_embeddings
 from sabermill.llm.extraction import extract
+from sabermill.llm.hard_negatives import hard_negatives
 from sabermill.llm.near_duplicates import near_duplicates
 from sabermill.llm.pieces import decode_documents, encode_documents
 from sabermill.llm.quality import classify
+from sabermill.llm.recipes import exact_duplicates
 from sabermill.llm.substrings import remove_repeats
 from sabermill.llm.tables import table
 from sabermill.llm.token_counts import count_tokens
 from sabermill.llm.token_files import read_tokens, write_tokens
+from sabermill.llm.whitening import whiten
 from sabermill.session import fresh_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -86,6 +89,24 @@ def op10_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(format_chats(log_of(stored.unionByName(planted))))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding and its positives."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened values of all embeddings; a deviation beyond 64 bits is null."""
+    done = whiten(table(spark, sf_dir, "embeddings"))
+    return done.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document."""
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_substrings": op2_substrings,
@@ -97,9 +118,39 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_chats": op10_chats,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_whitening": op12_whitening,
+    "op13_exact_duplicates": op13_exact_duplicates,
 }
 
 SQL = {
+    "op11_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding::DOUBLE[], lambda c: floor(256 * c)) AS x, row_number() OVER () AS no
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scored AS (
+  SELECT a.no AS anchor_no, a.vec_id AS anchor_id, c.no, c.vec_id, a.label = c.label AS same,
+    CASE WHEN len(a.x) = 0 THEN 0 ELSE list_inner_product(a.x, c.x)::BIGINT END AS score
+  FROM v a JOIN v c ON a.no <> c.no AND len(a.x) = len(c.x) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_no ORDER BY score DESC, vec_id NULLS LAST, no) <= 5
+), found AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_no, p.no ORDER BY n.score DESC, n.vec_id NULLS LAST, n.no) AS rank
+  FROM positives p JOIN scored n ON p.anchor_no = n.anchor_no AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 5
+""",
+    "op13_exact_duplicates": r"""
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+  doc_id IS NOT DISTINCT FROM min(doc_id) OVER g AS kept, sha256(text) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS text FROM documents)
+WINDOW g AS (PARTITION BY text)
+""",
     "op5_embeddings": r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
