@@ -85,5 +85,9 @@ def exact_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     rows = docs.select(col(id_col).alias("doc_id"), text.alias("text"))
     listed = rows.select("doc_id", recipe(F.col("text"), seed, **options).alias("recipe"), F.sha2("text", 256).alias("text_sha256"))
     listed = written(listed, "recipes")
+    # Written, so that the join below reads plain shuffles, of which Spark can split a hot list's.
     groups = listed.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return listed.join(groups, "recipe").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = written(groups.where("group_size > 1"), "groups")
+    done = listed.join(groups, "recipe", "left").withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")))
+    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")
+    return done.select("doc_id", "keep_id", F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), kept, "text_sha256")
