@@ -3,7 +3,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from sabermill.operators.dedup import first_per_key
-from sabermill.operators.ranking import competition_ranks
+from sabermill.operators.ranking import competition_ranks, value_range
 
 
 def expected_ranks(values, ascending):
@@ -60,6 +60,29 @@ def test_metrics_are_ranked_in_their_own_type(spark):
         assert got == dict(enumerate(want))
 
 
+def test_one_group_of_all_rows_with_hot_values_repeats_and_odd_doubles(spark):
+    odd = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1e-320, -1e308, 1.7e308, None]
+    data = [(i % 700, 0.25 if i % 3 else (i * 7919 % 4001) / 7, i % 5) for i in range(6000)]
+    data += [(i, v, None) for i, v in enumerate(odd * 2)]
+    df = spark.createDataFrame(data, "id int, v double, w int").repartition(6)
+    for up in (True, False):
+        want = df.selectExpr(
+            "*", f"rank() OVER (ORDER BY v IS NULL, v {'ASC' if up else 'DESC'}) AS a",
+            f"rank() OVER (ORDER BY w IS NULL, w {'ASC' if up else 'DESC'}) AS b",
+        ).withColumn("g", F.lit(1))
+        got = competition_ranks(df.withColumn("g", F.lit(1)), ["g"], {"a": "v", "b": "w"}, F.lit(up))
+        assert got.count() == len(data)
+        assert got.select(want.columns).exceptAll(want).isEmpty()
+
+
+def test_ranges_never_fall_and_split_a_season(spark):
+    values = sorted([x / 997 - 40 for x in range(80_000)] + [10.0**e for e in range(-300, 300, 7)])
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    ranges = [r[0] for r in df.select(value_range(F.col("v"))).collect()]
+    assert ranges == sorted(ranges)
+    assert max(ranges.count(r) for r in set(ranges[70_000:])) < 60
+
+
 def test_first_per_key_takes_the_lowest_order(spark, rows):
     df = spark.createDataFrame(
         [(1, 3, "c"), (1, 1, "a"), (1, 2, "b"), (2, 9, None), (None, 1, "n")],

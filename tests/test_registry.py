@@ -86,23 +86,37 @@ def test_building_a_query_runs_no_job(spark, name):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_one_window_shuffle_serves_all_ranks(spark):
-    text = plan(spark, "fct_statcast_leaders")
-    assert text.count("hashpartitioning(season") == 1 and text.count("FileScan") <= 3
+def windows_of(text):
+    """(partition columns, order) of each window."""
+    specs = re.findall(r"windowspecdefinition\(([^\n]*?), specifiedwindowframe", text)
+    names = [re.sub(r"#\d+L?", "", spec).split(", ") for spec in specs]
+    return [([n for n in each if " " not in n], [n for n in each if " " in n]) for each in names]
 
 
-def scans_of(text, table):
-    return [s for s in text.split("FileScan parquet")[1:] if f"/{table}.parquet" in s]
+def test_no_window_holds_the_rows_of_a_season(spark):
+    windows = windows_of(plan(spark, "fct_statcast_leaders"))
+    assert len(windows) == 4  # two for groups with a season, two for those without
+    for columns, order in windows:
+        # Either the values of one range, or one number for each range.
+        assert columns[:3] == ["season", "player_role", "_metric"]
+        assert columns[3:] == ["_range"] or [o.split()[0] for o in order] == ["_range"]
 
 
 @pytest.mark.parametrize(("name", "table", "column"), [
     ("Q22_standings", "orders", "o_orderdate"), ("Q33_ev_leaders", "lineitem", "l_shipdate"),
 ])
-def test_a_season_is_filtered_where_the_rows_come_from(spark, name, table, column):
+def test_a_season_is_filtered_at_every_scan_of_its_rows(spark, name, table, column):
+    spark.conf.set("spark.sql.maxPlanStringLength", str(1 << 24))
     text = plan(spark, name)
-    scan = text.split("FileScan")[0]
-    filters = [line for line in text.splitlines() if "Filter" in line and "year(" in line.lower()]
-    assert scans_of(text, table) and filters and "Window" in scan
+    lines = text.splitlines()
+    scans = [i for i, line in enumerate(lines) if f"/{table}.parquet" in line]
+    assert scans
+    for i in scans:
+        above = lines[i - 1]
+        asked = re.search(rf"\(year\(cast\({column}#\d+ as date\)\) = {registry.SEASON}\)", above)
+        # Groups without a season read rows without one only.
+        nameless = re.search(rf"isnull\(year\(cast\({column}#\d+ as date\)\)\)", above)
+        assert "Filter" in above and (asked or nameless), above
 
 
 def test_every_query_has_sql():
