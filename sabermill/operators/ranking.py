@@ -59,26 +59,30 @@ def _views(rows: DataFrame, metrics: list[str]) -> Column:
     )
 
 
-def _value_ranks(views: DataFrame, group: list[str], values: list[str], null_safe: list[str]) -> DataFrame:
-    """``group``, ``values`` and _rank of every value of every metric."""
+def _value_ranks(views: DataFrame, group: list[str], values: list[str]) -> DataFrame:
+    """``group``, ``values`` and _rank of every value of every metric.
+
+    The totals of the ranges meet the counts in one window over a range instead of a join: a filter
+    on the group passes through it on both sides.
+    """
     counts = views.groupBy(*group, "_up", "_range", *values).agg(F.count(F.lit(1)).alias("_n"))
     before = (W.unboundedPreceding, -1)
     towards = F.when(F.col("_up"), F.col("_range")).otherwise(-F.col("_range"))
     counts = counts.withColumn("_range", F.coalesce(towards, F.lit(4 * _FURTHEST)))  # NULLs last
     ahead = F.sum("_total").over(W.partitionBy(*group).orderBy("_range").rowsBetween(*before))
     ranges = counts.groupBy(*group, "_range").agg(F.sum("_n").alias("_total"))
-    ranges = ranges.select(*group, "_range", ahead.alias("_ahead"))
+    ranges = ranges.select(*group, "_range", F.coalesce(ahead, F.lit(0)).alias("_ahead"))
     order = [
         best
         for v in values
         for best in (F.when(F.col("_up"), F.col(v)).asc(), F.when(~F.col("_up"), F.col(v)).desc())
     ]
-    inside = F.sum("_n").over(
-        W.partitionBy(*group, "_range").orderBy(*order).rowsBetween(*before)
-    )
-    placed = _join(counts, ranges, [c for c in (*group, "_range") if c not in null_safe], null_safe)
-    rank = 1 + F.coalesce("_ahead", F.lit(0)) + F.coalesce(inside, F.lit(0))
-    return placed.select(*group, *values, rank.cast("bigint").alias("_rank"))
+    own = W.partitionBy(*group, "_range")
+    inside = F.sum("_n").over(own.orderBy(*order).rowsBetween(*before))
+    rank = 1 + F.max("_ahead").over(own) + F.coalesce(inside, F.lit(0))
+    both = counts.unionByName(ranges, allowMissingColumns=True)
+    both = both.withColumn("_rank", rank.cast("bigint")).where(F.col("_n").isNotNull())
+    return both.select(*group, *values, "_rank")
 
 
 def competition_ranks(
@@ -102,7 +106,7 @@ def competition_ranks(
     def ranked(part: DataFrame, null_safe: list[str]) -> DataFrame:
         whole = F.struct(*part.columns).alias("_row")
         views = part.select(*within, whole, ascending.alias("_up"), F.inline(_views(part, names)))
-        ranks = _value_ranks(views, group, values, null_safe)
+        ranks = _value_ranks(views, group, values)
         equal = [c for c in group if c not in null_safe]
         found = _join(views.drop("_up", "_range"), ranks, equal, [*null_safe, *values])
         places = [
