@@ -918,19 +918,19 @@ def ingested_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, checkpoint = fresh_path(spark, "stream"), fresh_path(spark, "stream-checkpoint")
     for _ in range(2):
         ingest.append_stream(_landed_stream(spark, sf_dir), path, checkpoint).awaitTermination()
-    return ingest.read_store(spark, path)
+    return ingest.read_appended(spark, path)
 
 
 def ingested_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "keyed-stream")
     for _ in range(2):
-        ingest.keyed_stream(_landed_stream(spark, sf_dir), path).awaitTermination()
+        ingest.keyed_stream(_landed_stream(spark, sf_dir), path, buckets=8).awaitTermination()
     return ingest.read_store(spark, path)
 
 
 add("I1_ingest_append", ingested_once, LANDED_SPEC, _COMPLETE_SQL)
 add("I1_ingest_keyed", ingested_by_key,
-    "game_pk:i at_bat_number:i pitch_number:i batter:i pitcher:i game_date:t",
+    LANDED_SPEC,
     f"""SELECT * FROM ({_COMPLETE_SQL}) QUALIFY row_number() OVER (
     PARTITION BY {", ".join(PITCH_KEY)} ORDER BY game_date, batter, pitcher) = 1""")
 

@@ -5,22 +5,24 @@ Each landed file is read once, however often the ingest runs; the checkpoint rem
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamReader
 
-from sabermill.operators.dedup import first_per_key
 from sabermill.operators.merge import LOADED_AT
 from sabermill.schemas import PITCH_KEY, raw_schema
 from sabermill.sources.pitches import pitch_rows
 
 SEASON = "game_year"
 BATCH = "batch"
-ALONE = "_alone"
+# Folders of a keyed store: pitches with a full key, by buckets of it, and those without.
+KEYED, KEYLESS, BUCKETS = "keyed", "keyless", "_buckets"
 FIRST_BY = ["game_date", "batter", "pitcher"]
 # A season of a batch is written by up to so many tasks, into as many files.
 SPREAD = 8
@@ -60,56 +62,114 @@ def _has_key() -> Column:
 
 
 def unseen(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of the batch whose pitch is not stored yet, one per pitch.
+    """Rows of the batch whose pitch is not stored yet, one per pitch; all have a full key.
 
     Of repeats the one that comes first by all its columns stays, so a replay stores the same
-    rows in whatever order they arrive. Pitches without a full natural key cannot be compared
-    and all stay: each gets a key of its own, which also spreads them over the tasks. Repeats
-    combine before the shuffle, the join with the store keeps that partitioning, and the batch is
-    read once.
+    rows in whatever order they arrive. Each task keeps one row of a key before the shuffle, so a
+    pitch that is repeated very often is no hot key. The batch is read once.
     """
-    alone = F.when(_has_key(), F.lit(0).cast("bigint")).otherwise(F.monotonically_increasing_id() + 1)
-    keys = [*PITCH_KEY, ALONE]
     first = [c for c in FIRST_BY if c in batch.columns]
     rest = [c for c in batch.columns if c not in (*PITCH_KEY, *first, LOADED_AT)]
-    order = [F.col(c) for c in (*first, *rest)]
-    once = first_per_key(batch.withColumn(ALONE, alone), keys, order)
-    known = stored.select(*PITCH_KEY, F.lit(0).cast("bigint").alias(ALONE)).where(_has_key())
-    return once.join(known, keys, "left_anti").select(*batch.columns)
+    nth = F.row_number().over(W.partitionBy(*PITCH_KEY).orderBy(*first, *rest))
+    once = batch.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+    return once.join(stored.select(*PITCH_KEY), PITCH_KEY, "left_anti").select(*batch.columns)
 
 
-def keyed_stream(pitches: DataFrame, path: str) -> StreamingQuery:
+def _stored_columns(rows: T.StructType) -> T.StructType:
+    return T.StructType([*rows, T.StructField(BATCH, T.LongType())])
+
+
+def _folder(spark: SparkSession, path: str, rows: T.StructType) -> T.StructType:
+    """Make a folder of the store where there is none yet; returns its columns."""
+    empty = spark.createDataFrame([], _stored_columns(rows))
+    empty.write.mode("ignore").partitionBy(BATCH, SEASON).parquet(path)
+    return empty.schema
+
+
+def _buckets(spark: SparkSession, path: str, buckets: int) -> int:
+    """How many buckets the store has, fixed when it is created."""
+    spark.range(1).selectExpr(f"'{buckets}'").coalesce(1).write.mode("ignore").text(f"{path}/{BUCKETS}")
+    return int(spark.read.text(f"{path}/{BUCKETS}").first()[0])
+
+
+def store_table(spark: SparkSession, path: str, rows: T.StructType, buckets: int = 64) -> DataFrame:
+    """Stored pitches with a full key, in buckets of it: a join by key reads them without a shuffle.
+
+    The catalog's entry only tells how the files lie; they are listed anew for each batch, so an
+    application with another catalog goes on with the same store.
+    """
+    buckets = _buckets(spark, path, buckets)
+    name = f"pitch_store_{hashlib.md5(path.encode()).hexdigest()}"
+    if not spark.catalog.tableExists(name):
+        stored = _folder(spark, f"{path}/{KEYED}", rows)
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stored)
+        listed = "spark.sql.hive.manageFilesourcePartitions"
+        before = spark.conf.get(listed)
+        spark.conf.set(listed, "false")
+        try:
+            spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+                f"PARTITIONED BY ({BATCH}, {SEASON}) CLUSTERED BY ({', '.join(PITCH_KEY)}) "
+                f"INTO {buckets} BUCKETS LOCATION '{path}/{KEYED}'"
+            )
+        finally:
+            spark.conf.set(listed, before)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def store_batch(batch: DataFrame, batch_id: int, path: str, buckets: int = 64) -> None:
+    """Add the pitches of a batch that the store at ``path`` lacks; a replay replaces what it added.
+
+    All seasons of the store are searched, as a repeat may come with another season or with none, but
+    only games between the smallest and the largest of the batch: Parquet skips the others.
+    """
+    spark = batch.sparkSession
+    table = store_table(spark, path, batch.schema, buckets)
+    buckets = _buckets(spark, path, buckets)
+    batch = batch.persist()  # parsed once, for its games and for its rows
+    try:
+        keyed = batch.where(_has_key())
+        games = keyed.agg(F.min(PITCH_KEY[0]), F.max(PITCH_KEY[0])).first()
+        near = F.col(PITCH_KEY[0]).between(*[F.lit(g) for g in games])
+        fresh = unseen(keyed, table.where((F.col(BATCH) < batch_id) & near))
+        # One task for each bucket, so that a batch has one file for each bucket and season.
+        fresh = fresh.repartition(buckets, *PITCH_KEY)
+        own = f"pitch_batch_{uuid.uuid4().hex}"
+        written = fresh.write.mode("overwrite").partitionBy(SEASON).bucketBy(buckets, *PITCH_KEY)
+        written.saveAsTable(own, path=f"{path}/{KEYED}/{BATCH}={batch_id}")
+        spark.sql(f"DROP TABLE {own}")  # the files stay, as buckets of the store
+        spread = F.pmod(F.xxhash64(*batch.columns), F.lit(SPREAD))
+        keyless = batch.where(~_has_key()).repartition(SEASON, spread)
+        keyless.write.mode("overwrite").partitionBy(SEASON).parquet(f"{path}/{KEYLESS}/{BATCH}={batch_id}")
+    finally:
+        batch.unpersist()
+
+
+def _spread_out(landed: DataFrame) -> DataFrame:
+    """Landed rows in as many partitions as tasks can run, where they come in fewer (one large file).
+
+    Parsing is the dearest step: a double becomes a decimal by way of its digits, in 50 columns.
+    """
+    tasks = landed.sparkSession.sparkContext.defaultParallelism
+    return landed if landed.rdd.getNumPartitions() >= tasks else landed.repartition(tasks)
+
+
+def keyed_stream(pitches: DataFrame, path: str, buckets: int = 64) -> StreamingQuery:
     """Append only pitches that are not stored yet, however late or often they land.
 
     The store itself is the memory, so no state grows with the stream and no late row is lost to
-    a watermark. Every batch has a folder of its own that a replay overwrites, so a batch that
+    a watermark. Every batch has folders of its own that a replay overwrites, so a batch that
     failed half-way counts once; the checkpoint lives in the store, as batch numbers belong to it.
-    Inside a batch rows lie by season, and a batch reads the keys of its own seasons only: a
-    pitch's game, and so its key, belongs to one season.
+    Pitches without a full natural key cannot be compared: all stay, apart from the others, dealt
+    by their content. Inside a batch rows lie by season.
     """
-    rows = pitch_rows(pitches)
-    spark = pitches.sparkSession
-    layout = T.StructType([*rows.schema, T.StructField(BATCH, T.LongType())])
-    empty = spark.createDataFrame([], layout)
-    empty.write.mode("ignore").partitionBy(BATCH, SEASON).parquet(path)
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        batch = batch.persist()  # parsed once, for its seasons and for its rows
-        try:
-            seasons = [r[SEASON] for r in batch.select(SEASON).distinct().collect()]
-            own = F.col(SEASON).isin([s for s in seasons if s is not None])
-            if None in seasons:
-                own |= F.col(SEASON).isNull()
-            stored = session.read.schema(layout).parquet(path)
-            stored = stored.where((F.col(BATCH) < batch_id) & own)
-            fresh = unseen(batch, stored).repartition(SEASON, F.pmod("at_bat_number", F.lit(SPREAD)))
-            fresh.write.mode("overwrite").partitionBy(SEASON).parquet(f"{path}/{BATCH}={batch_id}")
-        finally:
-            batch.unpersist()
+    def store(landed: DataFrame, number: int) -> None:
+        store_batch(pitch_rows(_spread_out(landed)), number, path, buckets)
 
     return (
-        rows.writeStream.foreachBatch(store)
+        pitches.writeStream.foreachBatch(store)
         .option("checkpointLocation", f"{path}/_checkpoint")
         .trigger(availableNow=True)
         .start()
@@ -119,5 +179,14 @@ def keyed_stream(pitches: DataFrame, path: str) -> StreamingQuery:
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """A keyed store, its batch beside the pitch columns."""
     columns = raw_schema("statcast")
-    layout = T.StructType([*columns, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(layout).parquet(path).select(*columns.names, BATCH)
+    parts = []
+    for folder in (KEYED, KEYLESS):
+        layout = _folder(spark, f"{path}/{folder}", columns)
+        stored = spark.read.schema(layout).parquet(f"{path}/{folder}")
+        parts.append(stored.select(*columns.names, BATCH))
+    return parts[0].union(parts[1])
+
+
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """What ``append_stream`` has stored."""
+    return spark.read.schema(raw_schema("statcast")).parquet(path)

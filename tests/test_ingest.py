@@ -106,6 +106,54 @@ def test_a_batch_reads_its_own_seasons_of_the_store(spark, landing_folder):
     assert "PartitionFilters: [isnotnull(game_year" in text
 
 
+def test_a_repeat_with_another_season_or_none_is_not_stored_again(spark, landing_folder):
+    path = fresh_path(spark, "moved")
+    nameless = (5.0, "2024-04-01", NAN, *pitch(5.0)[3:])
+    moved = (6.0, "2024-04-01", 2023.0, *pitch(6.0)[3:])
+    ingest.keyed_stream(landing_folder(nameless, moved), path, buckets=4).awaitTermination()
+    ingest.keyed_stream(landing_folder(pitch(5.0), pitch(6.0), pitch(7.0)), path).awaitTermination()
+    got = ingest.read_store(spark, path).collect()
+    assert sorted((r.game_pk, r.game_year, r.batch) for r in got if r.game_year) == [(6, 2023, 0), (7, 2024, 1)]
+    assert [(r.game_pk, r.batch) for r in got if not r.game_year] == [(5, 0)]
+
+
+def test_the_store_is_joined_without_a_shuffle_and_survives_its_catalog(spark, landing_folder):
+    path = fresh_path(spark, "buckets")
+    landed = landing_folder(*[pitch(float(i % 40), float(i)) for i in range(300)])
+    ingest.keyed_stream(landed, path, buckets=4).awaitTermination()
+    rows = pitches.raw_schema("statcast")
+    assert ingest.store_table(spark, path, rows).count() == 300
+    for t in spark.catalog.listTables():  # the files stay; another application begins like this
+        if t.name.startswith("pitch_store_"):
+            spark.sql(f"DROP TABLE {t.name}")
+    stored = ingest.store_table(spark, path, rows)
+    assert stored.count() == 300
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        batch = ingest.read_store(spark, path).drop("batch").where("at_bat_number < 200")
+        fresh = ingest.unseen(batch, stored)
+        text = fresh._jdf.queryExecution().executedPlan().toString()
+        assert fresh.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    store = text.split("LeftAnti")[1]
+    before, after = store.rsplit("FileScan", 1)[0], store.rsplit("FileScan", 1)[1]
+    assert "Bucketed: true" in after and "Exchange" not in before.split("FileScan")[-1]
+    assert "WindowGroupLimit" in text
+
+
+def test_a_replay_replaces_what_its_batch_stored(spark):
+    path = fresh_path(spark, "replay")
+    rows = spark.createDataFrame([pitch(1.0), pitch(2.0), pitch(NAN)], SCHEMA)
+    ingest.store_batch(pitches.pitch_rows(rows), 0, path, 4)
+    again = spark.createDataFrame([pitch(1.0), pitch(3.0), pitch(NAN)], SCHEMA)
+    for _ in range(2):
+        ingest.store_batch(pitches.pitch_rows(again), 1, path, 4)
+    ingest.store_batch(pitches.pitch_rows(rows), 0, path, 4)
+    stored = sorted(((r.game_pk, r.batch) for r in ingest.read_store(spark, path).collect()), key=str)
+    assert stored == [(1, 0), (2, 0), (3, 1), (None, 0), (None, 1)]
+
+
 def test_the_batch_is_read_once(spark):
     at = fresh_path(spark, "batch")
     pitches.pitch_rows(spark.createDataFrame([pitch(1.0)], SCHEMA)).write.parquet(at)
