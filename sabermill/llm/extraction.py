@@ -1,10 +1,10 @@
 """Main text of web pages, by markup and by differences between neighbouring pages of a host.
 
 Pages are ordered by (host, path) and dealt to tasks by ranges of that order, so a large host is spread
-over many tasks. Range bounds are keys of pages chosen by hash, a number bounded by that of ranges. A
-bound lies inside a host only if at least two of its pages are on either side, else the host stays
-whole, so a page has a neighbour in its range if its host has another page. A page's partner is the page before it in
-the same host and range, for the first one the page after it. The lines of both are aligned by longest common subsequence, and lines that both
+over many tasks. Range bounds are keys of pages chosen by hash, a number bounded by that of ranges. The last
+page of a range is handed on to the next range, and the first one to the range before, so where the bounds lie
+changes no result. A page's partner is the page before it in the same host, for the first one of the host
+the page after it. The lines of both are aligned by longest common subsequence, and lines that both
 have are template text: they are deleted.
 
 Differences alone don't give the article: menus and footers differ from page to page, and articles
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sabermill.llm.html_lines import ARTICLE, MAIN, OPEN, lines_of
-from sabermill.llm.tables import bundle, col, unbundle
+from sabermill.llm.tables import bundle, col, unbundle, written
 
 
 _KEYS_A_RANGE = 64
@@ -121,7 +121,18 @@ def extract(pages: DataFrame, *, range_bytes: int = 8 << 20, id_col: str = "page
     def range_of(keys: pa.Array) -> pa.Array:
         return pa.array([bisect_right(bounds, k) for k in keys.to_pylist()], pa.int32())
 
-    dealt = rows.withColumn("range", range_of("key")).repartition(ranges, "range")
+    dealt = rows.withColumn("range", range_of("key")).withColumn("own", F.lit(True))
+    if bounds:
+        # Pages at the edges of each range, as neighbours for the range beside it; they give no rows there.
+        edges = written(dealt.groupBy("range").agg(F.min("key").alias("low"), F.max("key").alias("high")), "edges")
+        handed = [
+            dealt.join(edges.select(F.col(end).alias("key"), (F.col("range") + step).alias("beside")), "key").dropDuplicates(["key"])
+            for end, step in (("high", 1), ("low", -1))
+        ]
+        for beside in handed:
+            beside = beside.withColumn("range", F.col("beside")).withColumn("own", F.lit(False))
+            dealt = dealt.unionByName(beside.select(dealt.columns))
+    dealt = dealt.repartitionById(ranges, "range")
     schema = T.StructType([rows.schema["id"], rows.schema["url"], T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()), T.StructField("n_shared", T.LongType()), rows.schema["rest"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,7 +153,8 @@ def extract(pages: DataFrame, *, range_bytes: int = 8 << 20, id_col: str = "page
         def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, shared = zip(*done, strict=True)
             done.clear()
-            return pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(shared, pa.int64()), batch.column(5)], schema.names)
+            found = pa.RecordBatch.from_arrays([batch.column(2), batch.column(3), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(shared, pa.int64()), batch.column(5)], schema.names)
+            return found.filter(batch.column(8))
 
         for _, own in groupby(stream(), key=lambda r: r[0]):
             before = held = None

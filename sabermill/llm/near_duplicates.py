@@ -273,7 +273,10 @@ def near_duplicates(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, class_id (smallest id of the class), kept (it is that one) and n_shingles, for every row."""
+    """doc_id, class_id (smallest id of the class), kept (it is that one), n_shingles and text_md5, for every row.
+
+    Rows that share an id are told apart by text_md5, which is null for a text without words.
+    """
     spark = docs.sparkSession
     rows = written(_sketches(docs, shingle, similarity, bands, sampled, id_col, text_col), "sketches")
     distinct = rows.where("id is not null and copy is not null").groupBy("copy").agg(F.min("id").alias("node"), F.min_by("keys", "id").alias("keys"), F.min_by("bits", "id").alias("bits"), F.min("n").alias("n"))
@@ -309,18 +312,18 @@ def near_duplicates(
                 pairs = star(center, apart)
             else:
                 pairs = _possible(placed.join(distinct.select("node", "bits", F.slice("keys", 1, bands).alias("keys")), "node"), block, similarity)
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         if pairs.isEmpty():
-            if labels is None:
-                break
+            if labels is None:  # members other than the first centres may still be copies
+                labels = spark.createDataFrame([], "node long, component long")
             continue
         found = written(_linked(pairs, texts, shingle, similarity), "links")
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
         labels = components(links)
 
-    label = labels if labels is not None else spark.createDataFrame([], "node long, component long")
-    named = distinct.select("copy", "node").join(label, "node", "left").select("copy", F.coalesce("component", "node").alias("class_id"))
-    out = rows.join(named, "copy", "left").select(F.col("id").alias("doc_id"), F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.col("n").alias("n_shingles"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+    named = distinct.select("copy", "node").join(labels, "node", "left").select("copy", F.coalesce("component", "node").alias("class_id"))
+    out = rows.join(named, "copy", "left").select(F.col("id").alias("doc_id"), F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id"), F.col("n").alias("n_shingles"), F.lower(F.hex("copy")).alias("text_md5"))
+    return out.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles", "text_md5")

@@ -78,7 +78,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_md5")
 
 
 def op10_chats(spark: SparkSession, sf_dir: str) -> DataFrame:

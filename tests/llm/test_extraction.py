@@ -94,3 +94,18 @@ def test_a_bound_leaves_two_pages_of_a_host_on_either_side():
         above = [k for h, k in keys if k >= bound and h == bound.split("\0")[0]]
         assert len(below) == 0 or min(len(below), len(above)) >= 2
     assert range_bounds([], 3) == [] and range_bounds(keys[:2], 5) == []
+
+
+def test_the_text_does_not_depend_on_the_ranges(spark):
+    draw = random.Random(6)
+    rows = []
+    for i in range(300):
+        host = draw.choice(["a.example"] * 6 + ["b.example", "c.example", f"d{i}.example"])
+        lines = "".join(f"<p>{draw.choice(['menu', 'about', 'terms', 'news', f'own {i}'])}</p>" for _ in range(12))
+        rows.append((i, f"http://{host}/{draw.randint(0, 400)}", lines, None, None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    texts = lambda pages, size: {r["page_id"]: (r["text"], r["n_shared"]) for r in extract(pages, range_bytes=size).collect()}
+    whole = texts(df, 1 << 30)
+    assert len(whole) == 300
+    for size in (40_000, 9000, 4000, 1500, 400):
+        assert texts(df.repartition(3), size) == whole, size

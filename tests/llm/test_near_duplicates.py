@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -106,3 +107,21 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(200, 260)}, 7: 7}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_copies_are_linked_when_the_centre_of_their_bucket_is_too_long(spark):
+    draw = random.Random(21)
+    words = [f"w{draw.randint(0, 10**6)}" for _ in range(60)]
+    short = [(3, " ".join(words)), (4, " ".join([*words[:30], "other", *words[31:]]))]
+    longer = " ".join([*words, *[f"v{draw.randint(0, 10**6)}" for _ in range(30)]])
+    for many in ([], [(0, longer)], [(1, longer), (7, f"{longer} end {longer}")], [(9, longer)]):
+        df = spark.createDataFrame(short + many, "doc_id long, text string")
+        got = {r["doc_id"]: r["class_id"] for r in near_duplicates(df, bands=1, sampled=1).collect()}
+        assert got[3] == got[4] == 3, many
+
+
+def test_rows_that_share_an_id_are_told_apart_by_text(spark):
+    a, b = "one two three four five six seven", "nothing in common with the other text at all"
+    df = spark.createDataFrame([(1, a), (5, a), (5, b), (6, None)], "doc_id long, text string")
+    got = {(r["doc_id"], r["text_md5"] == hashlib.md5(a.encode()).hexdigest()): r["kept"] for r in near_duplicates(df).collect()}
+    assert got == {(1, True): True, (5, True): False, (5, False): True, (6, False): True}

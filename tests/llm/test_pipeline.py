@@ -86,3 +86,10 @@ def test_empty_and_null_documents_pass_through(spark, corpus):
             out = stage(spark, docs, folder)
             assert sorted((r["doc_id"] for r in out.collect()), key=str) == sorted((r[0] for r in rows), key=str), name
         assert corpus_pipeline.good_quality(spark, docs, folder).columns == docs.columns
+
+
+def test_a_text_that_shares_its_id_with_a_copy_stays(spark):
+    a, b = "one two three four five six seven", "nothing in common with the other text at all"
+    rows = [(i, t, "en", "s", len(t)) for i, t in ((1, a), (5, a), (5, b))]
+    out = corpus_pipeline.without_near_duplicates(spark, spark.createDataFrame(rows, DOCS), "")
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect()) == [(1, a), (5, b)]
