@@ -26,9 +26,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id."""
-    dropped = near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One document of each class of near duplicates, the one with the smallest id.
+
+    What is judged by id and text is dropped by both, as rows may share an id.
+    """
+    dropped = near_duplicates(docs).where("not kept").select("doc_id", "text_md5").distinct()
+    text_md5 = F.md5(F.col("text"))
+    return docs.withColumn("text_md5", text_md5).join(dropped, ["doc_id", "text_md5"], "left_anti").select(docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
