@@ -21,6 +21,7 @@ result column are replaced. No row is shuffled.
 
 from __future__ import annotations
 
+import gc
 from itertools import chain
 
 import numpy as np
@@ -36,7 +37,7 @@ _PAIRS = 1 << 20
 # Words whose ids a Python worker keeps from batch to batch, and their greatest length in characters.
 _WORDS, _WORD_CHARS = 1 << 18, 64
 # The words of so much text are held at once.
-_BATCH_BYTES = 1 << 24
+_BATCH_BYTES = 24 << 20
 
 _loaded: dict[str, PieceModel] = {}
 
@@ -69,8 +70,9 @@ class PieceModel:
         self.sizes = {tail: sorted(found, reverse=True) for tail, found in sizes.items()}
         if any(_MARK in n.lstrip(_MARK) or ("\n" in n and n != "\n") for n in self.ids):
             raise ValueError("a piece reaches over the start of a word")
-        self.whole: dict[int, bool] = {}
-        self.follows: dict[int, bool] = {}
+        # Which pieces may stand after each piece (-1: at a start or after a character without a piece), as far as tried.
+        self.after: dict[int, dict[int, bool]] = {-1: {}}
+        self.tried = 0
         self.words: dict[str, list[int]] = {}
         # What each id decodes to.
         surface = [b""] * size
@@ -95,47 +97,46 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def may_follow(self, before: int, piece: int) -> bool:
-        """Whether ``piece`` stands after ``before`` (-1: a start or a character without a piece)."""
-        name = self.names[piece]
-        if before < 0:
-            if piece not in self.whole:
-                self.whole[piece] = self.merged(name) == [name]
-            return self.whole[piece]
-        key = before << 32 | piece
-        known = self.follows.get(key)
-        if known is None:
-            if len(self.follows) >= _PAIRS:
-                self.follows.clear()
-            known = self.follows[key] = self.merged(self.names[before] + name) == [self.names[before], name]
-        return known
+        """Whether ``piece`` stands after ``before``."""
+        if self.tried >= _PAIRS:
+            self.tried = 0
+            for known in self.after.values():
+                known.clear()
+        name, first = self.names[piece], [self.names[before]] if before >= 0 else []
+        found = self.merged("".join(first) + name) == [*first, name]
+        self.after.setdefault(before, {})[piece] = found
+        self.tried += 1
+        return found
 
     def segment(self, words: list[str]) -> list[list[int]]:
         """Ids of each of the sorted ``words``."""
-        ids, lengths, short = self.ids, self.sizes, [2, 1]
-        follows = self.follows
-        sizes, last = [0], [-1]  # of the prefixes of the word before: its last piece and that one's length
+        find, lengths, after = self.ids.get, self.sizes.get, self.after
+        short = [2, 1]
+        # Of the prefixes of the word before: the length and the id of the last piece, and what may follow it.
+        sizes, last, follow = [0], [-1], [after[-1]]
         before, out = "", []
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del sizes[shared + 1 :], last[shared + 1 :]
+            del sizes[shared + 1 :], last[shared + 1 :], follow[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for size in lengths.get(word[end - 3 : end], short) if end > 2 else short[-end:]:
-                    begin = end - size
-                    if begin < 0:
+                for size in lengths(word[end - 3 : end], short) if end > 2 else short[-end:]:
+                    if size > end:
                         continue
-                    piece = ids.get(word[begin:end])
+                    begin = end - size
+                    piece = find(word[begin:end])
                     if piece is not None:
-                        state = last[begin]
-                        known = follows.get(state << 32 | piece) if state >= 0 else self.whole.get(piece)
-                        if known or (known is None and self.may_follow(state, piece)):
+                        known = follow[begin].get(piece)
+                        if known or (known is None and self.may_follow(last[begin], piece)):
                             sizes.append(size)
                             last.append(piece)
+                            follow.append(after[piece] if piece in after else after.setdefault(piece, {}))
                             break
                 else:
                     sizes.append(1)
                     last.append(-1)
+                    follow.append(after[-1])
             found, end = [], len(word)
             while end:
                 piece = last[end]
@@ -151,15 +152,27 @@ class PieceModel:
             before = word
         return out
 
-    def ids_of(self, words: list[str]) -> list[list[int]]:
-        """Ids of each of the distinct ``words``; those not met in earlier batches are sorted into a trie."""
+    def ids_of(self, words: list[str], often: list[bool]) -> list[list[int]]:
+        """Ids of each of the distinct ``words``; those not met in earlier batches are sorted into a trie.
+
+        Words that are met ``often`` in a batch are kept for the next ones.
+        """
         known = self.words
-        new = sorted(w for w in words if w not in known)
-        fresh = dict(zip(new, self.segment(new), strict=True))
-        found = [known[w] if w in known else fresh[w] for w in words]
-        if len(known) + len(new) > _WORDS:
+        found = [known.get(w) for w in words]
+        new = sorted([i for i, f in enumerate(found) if f is None], key=words.__getitem__)
+        collects = gc.isenabled()
+        gc.disable()  # very many small lists without a cycle
+        try:
+            for i, ids in zip(new, self.segment([words[i] for i in new]), strict=True):
+                found[i] = ids
+        finally:
+            if collects:
+                gc.enable()
+        if len(known) >= _WORDS:
             known.clear()
-        known.update((w, fresh[w]) for w in new[:_WORDS] if len(w) <= _WORD_CHARS)
+        for i in new[:_WORDS]:
+            if often[i] and len(words[i]) <= _WORD_CHARS:
+                known[words[i]] = found[i]
         return found
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -177,12 +190,12 @@ class PieceModel:
         starts = np.flatnonzero(begins)
         cut = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int32)), pa.py_buffer(raw)])
         coded = pc.dictionary_encode(cut)
-        words = [w.decode().replace(" ", _MARK) for w in coded.dictionary.to_pylist()]
-        found = self.ids_of(words)
+        words = pc.replace_substring(coded.dictionary.cast(pa.string()), " ", _MARK).to_pylist()
+        codes = coded.indices.to_numpy()
+        found = self.ids_of(words, (np.bincount(codes, minlength=len(words)) > 1).tolist())
         lengths = np.array([len(f) for f in found], np.int64)
         flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
         first = np.cumsum(lengths) - lengths
-        codes = coded.indices.to_numpy()
         own = lengths[codes]
         running = np.concatenate([[0], np.cumsum(own)])
         at = running[np.searchsorted(starts, ends)]
