@@ -9,10 +9,10 @@ from pyspark.sql import Column, functions as F
 from sabermill.schemas import RAW
 
 # Pitch columns by name with their kind: "i", "s" or "d" and the decimal places.
-_TYPES = re.compile(r"(\w+) (INT|STRING|DECIMAL\(\d+,(\d+)\))")
+TYPES = re.compile(r"(\w+) (INT|STRING|DECIMAL\(\d+,(\d+)\))")
 KINDS = {
     name: {"I": "i", "S": "s", "D": f"d{places}"}[kind[0]]
-    for name, kind, places in _TYPES.findall(RAW["statcast"])
+    for name, kind, places in TYPES.findall(RAW["statcast"])
 }
 NUMBERS = {name: i for i, name in enumerate(KINDS)}
 

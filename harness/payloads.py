@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harness import adapter, fillers
 from harness.adapter import div, table
+from sabermill.schemas import RAW
+from sabermill.sources import landing
 
 
 def _document(df: DataFrame, **fields: Column) -> DataFrame:
@@ -184,6 +186,50 @@ def pitching(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _person_stats(spark, sf_dir, "pitching", player, stat)
 
 
+def _rest(names: dict[str, str], own: list[str]) -> list[str]:
+    return [column for column in names if column not in own]
+
+
+# Statistics that the documents above leave out.
+HITTING_REST = _rest(landing.HITTING, ["games_played", "at_bats", "hits", "home_runs", "walks", "batting_average", "ops"])
+PITCHING_REST = _rest(landing.PITCHING, ["wins", "games", "innings_pitched", "era", "home_runs_allowed", "batting_average_against"])
+
+
+def rest_number(i: int) -> str:
+    """The value of the i-th of them in units of its last place, for both engines."""
+    return f"(n * 37 + {i} * 11) % 900 + {i}"
+
+
+def _rest_stats(names: dict[str, str], rest: list[str], places: dict[str, int]) -> Column:
+    """All of them as text; decimals with their point, every seventh line without a value."""
+
+    def text(i: int, column: str) -> Column:
+        number = F.expr(rest_number(i))
+        if not places[column]:
+            return F.when(F.col("q") % 7 != 0, number.cast("string"))
+        unit = 10 ** places[column]
+        whole = F.expr(f"({rest_number(i)}) div {unit}").cast("string")
+        part = F.lpad((number % unit).cast("string"), places[column], "0")
+        return F.when(F.col("q") % 7 == 0, ".---").otherwise(F.concat(whole, F.lit("."), part))
+
+    return _struct(**{names[c]: text(i, c) for i, c in enumerate(rest)})
+
+
+def places_of(table: str) -> dict[str, int]:
+    """Decimal places of the whole numbers and decimals of a raw table."""
+    return {name: int(places or 0) for name, _, places in fillers.TYPES.findall(RAW[table])}
+
+
+def hitting_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stat = _rest_stats(landing.HITTING, HITTING_REST, places_of("batting_stats"))
+    return _person_stats(spark, sf_dir, "hitting", F.col("l_partkey"), stat)
+
+
+def pitching_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stat = _rest_stats(landing.PITCHING, PITCHING_REST, places_of("pitching_stats"))
+    return _person_stats(spark, sf_dir, "pitching", div(F.col("l_orderkey"), 10), stat)
+
+
 # Columns with values of their own below, and columns that do not land at all.
 _LANDED_OWN = """game_pk game_date game_year batter pitcher batter_name events description zone
     launch_speed launch_angle at_bat_number pitch_number""".split()

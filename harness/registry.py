@@ -14,6 +14,7 @@ from sabermill.operators import merge, quality, sinks
 from sabermill.plans import boards, intermediate, loads, suite
 from sabermill.plans.warehouse import MARTS, Warehouse
 from sabermill.schemas import DEFAULTS, KEYS, PITCH_KEY
+from sabermill.sources.versions import VersionedTable, export_version, load_chunks, read_export
 from sabermill.session import fresh_path
 from sabermill.sources import chunks, landing, pitches, tables
 from sabermill.streaming import ingest
@@ -120,6 +121,12 @@ add("P2_stg_players", on(lambda w: w.stg_players), PLAYER_SPEC,
 add("P3_stg_games", on(lambda w: w.stg_games), GAME_SPEC, f"SELECT *, {STATUS} FROM raw_games")
 add("P4_stg_schedule", on(lambda w: w.stg_schedule), SCHEDULE_SPEC,
     f"SELECT *, id AS schedule_id, {STATUS} FROM raw_schedule")
+for _name, _model, _table in (("P3", "stg_games", "games"), ("P4", "stg_schedule", "schedule")):
+    add(f"{_name}_{_model}_time", on(lambda w, m=_model: w.model(m).withColumn(
+        "game_datetime", F.date_format("game_datetime", "yyyy-MM-dd HH:mm:ss"))),
+        "game_pk:i game_datetime:s",
+        f"""SELECT game_pk, strftime(CAST(game_datetime AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS game_datetime
+        FROM raw_{_table}""")
 add("P5_stg_batting_stats", on(lambda w: w.stg_batting_stats), STG_BATTING_SPEC,
     """SELECT *, ground_into_dp AS ground_into_double_play, obp AS on_base_percentage,
     slg AS slugging_percentage, obp + slg AS on_base_plus_slugging
@@ -563,6 +570,23 @@ add("S9_flatten_pitching",
     FROM ({_LINE_SQL}) WHERE n <> 6""")
 
 
+
+
+def _rest_entry(name: str, kind: str, rest: list[str], table: str, payload: str, flatten, player: str) -> None:
+    """All statistics that the entry above doesn't compare."""
+    places = payloads.places_of(table)
+    spec = " ".join(f"{c}:{f'd{places[c]}' if places[c] else 'i'}" for c in rest)
+    values = ", ".join(f"CASE WHEN q % 7 <> 0 THEN {payloads.rest_number(i)} END AS {c}" for i, c in enumerate(rest))
+    add(name, landed(kind, payload, flatten), f"player_id:i season:i team_id:i {spec}",
+        f"SELECT *, {player} AS player_id, {values} FROM ({_LINE_SQL}) WHERE n <> 6")
+
+
+_rest_entry("S8_flatten_batting_rest", "hitting_rest", payloads.HITTING_REST, "batting_stats",
+            landing.HITTING_PAYLOAD, landing.flatten_batting_stats, "l_partkey")
+_rest_entry("S9_flatten_pitching_rest", "pitching_rest", payloads.PITCHING_REST, "pitching_stats",
+            landing.PITCHING_PAYLOAD, landing.flatten_pitching_stats, "l_orderkey // 10")
+
+
 # ---------------------------------------------------------------- landed loads
 
 # Where the key of a document lies; documents of every 11th key land cut off.
@@ -766,6 +790,24 @@ add("S16_table_source", stored_raw, "table_name:s n:i", " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n FROM raw_{name}"
     for name in adapter.RAW_TABLES))
 
+
+
+def stored_models(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Models over raw tables that were written whole and read back with their declared schemas."""
+    folder = fresh_path(spark, "raw")
+    written = {
+        name: df.select(*[F.col(c.name).cast(c.dataType) for c in tables.raw_schema(name)])
+        for name, df in adapter.raw_tables(spark, sf_dir).items()
+    }
+    sinks.export_tables(written, folder)
+    return Warehouse(tables.read_raw(spark, folder))
+
+
+add("S16_stored_games", lambda spark, sf: stored_models(spark, sf).stg_games, GAME_SPEC,
+    f"SELECT *, {STATUS} FROM raw_games")
+add("S16_stored_statcast", lambda spark, sf: stored_models(spark, sf).stg_statcast, PITCH_SPEC,
+    PITCH_SQL)
+
 _SEED_VALUES = ", ".join(
     "(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in row) + ")"
     for row in tables.seed_rows()
@@ -847,6 +889,23 @@ add("K4_insert_only", _merged([]), MERGE_SPEC, _merged_sql(
     "CASE WHEN t.game_pk IS NULL THEN b.first_detail ELSE t.status_detail END", _NEW_VENUE))
 
 
+
+
+def merged_files(spark: SparkSession, sf_dir: str, update: list[str] | None) -> DataFrame:
+    """The same merge into a versioned table, and once more under the same name, which does nothing."""
+    target = adapter.raw_table(spark, sf_dir, "schedule")
+    stored = VersionedTable.create(fresh_path(spark, "schedule"), target, ["game_pk"])
+    for _ in range(2):
+        stored.merge(schedule_batch(spark, sf_dir), ["game_pk"], "seq", update, DEFAULTS["schedule"], load="batch")
+    return stored.read()
+
+
+add("K2_upsert_files", lambda spark, sf: merged_files(spark, sf, None), MERGE_SPEC, _merged_sql(
+    "coalesce(b.last_detail, t.status_detail)", "coalesce(b.last_venue, t.venue_id)"))
+add("K4_insert_files", lambda spark, sf: merged_files(spark, sf, []), MERGE_SPEC, _merged_sql(
+    "CASE WHEN t.game_pk IS NULL THEN b.first_detail ELSE t.status_detail END", _NEW_VENUE))
+
+
 def compound_key_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A compound key with a NULL part: such rows never match and are all inserted."""
     target = adapter.raw_table(spark, sf_dir, "batting_stats")
@@ -904,6 +963,43 @@ add("K8_export_marts", exported, "table_name:s n:i", " UNION ALL ".join(
     f"SELECT '{name}' AS table_name, count(*) AS n FROM {part}"
     for name, part in _MART_PARTS.items()))
 
+
+def exported_version(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A mart of the second of two exports."""
+    folder, w = fresh_path(spark, "export"), warehouse(spark, sf_dir)
+    export_version({name: w.model(name).limit(0)}, folder)
+    export_version({name: w.model(name), "dim_teams": w.dim_teams}, folder)
+    return read_export(spark, folder)[name]
+
+
+for _name, (_part, _spec) in MODELS.items():
+    if _name in MARTS:
+        add(f"K8_export_{_name}", lambda spark, sf, n=_name: exported_version(spark, sf, n), _spec,
+            f"SELECT * FROM {_part}")
+
+
+def chunk_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pitches loaded year by year of days: one chunk fails at first, and one is loaded twice."""
+    landed = pitches.pitch_rows(landed_pitches(spark, sf_dir))
+    stored = VersionedTable.create(fresh_path(spark, "chunked"), landed.limit(0))
+    span = landed.agg(F.min("game_date"), F.max("game_date")).first()
+    parts = [(r.chunk_start, r.chunk_end) for r in chunks.chunks_between(spark, *span, chunk_days=366).collect()]
+    failed = []
+
+    def fetch(start, end):
+        if start == parts[-1][0] and not failed:
+            failed.append(start)
+            raise OSError("no answer")
+        return landed
+
+    load_chunks(stored, parts, fetch, "game_date")
+    load_chunks(stored, parts, fetch, "game_date")
+    load_chunks(stored, parts[:1], fetch, "game_date", again=True)
+    return stored.read()
+
+
+add("S15_chunk_load", chunk_loaded, LANDED_SPEC, _COMPLETE_SQL)
+
 # ---------------------------------------------------------------- incremental ingest
 
 
