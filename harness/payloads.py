@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from harness import adapter, fillers
 from harness.adapter import div, table
 from sabermill.schemas import RAW
+from sabermill.session import spread_out
 from sabermill.sources import landing
 
 
@@ -145,7 +146,7 @@ def _person_stats(spark: SparkSession, sf_dir: str, group: str, player: Column,
         block("fielding", F.array(split)), block(group, none), block(group, F.array(split))
     )
     return _document(
-        adapter._lines(spark, sf_dir),
+        spread_out(adapter._lines(spark, sf_dir)),
         player_id=player,
         season=F.col("season"),
         game_type=F.col("game_type"),

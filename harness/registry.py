@@ -17,7 +17,7 @@ from sabermill.schemas import DEFAULTS, KEYS, PITCH_KEY
 from sabermill.sources.versions import VersionedTable, export_version, load_chunks, read_export
 from sabermill.session import fresh_path
 from sabermill.sources import chunks, landing, pitches, tables
-from sabermill.streaming import ingest
+from sabermill.streaming import documents, ingest
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -600,22 +600,27 @@ _LOADS = {
 }
 
 
-def loaded(spark: SparkSession, sf_dir: str, table: str) -> loads.Load:
-    """Documents, some cut off, over a table that holds the rows with an even key already."""
+def load_inputs(spark: SparkSession, sf_dir: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """Documents, some cut off, and a table that holds the rows with an even key already."""
     make, path = _LOADS[table]
     key = F.get_json_object("doc", path).cast("bigint")
     cut = F.expr("left(doc, length(doc) - 3)")
-    documents = make(spark, sf_dir).select(F.when(key % 11 == 3, cut).otherwise(F.col("doc")).alias("doc"))
+    texts = make(spark, sf_dir).select(F.when(key % 11 == 3, cut).otherwise(F.col("doc")).alias("doc"))
     stored = adapter.raw_tables(spark, sf_dir)[table]
     stored = stored.where(F.col(KEYS[table][0]) % 2 == 0)
     if table == "teams":
         stored = stored.withColumn("name", F.lit("stored"))
     elif "status_detail" in stored.columns:
         stored = stored.withColumn("status_detail", F.lit("stored"))
+    return texts, stored
+
+
+def loaded(spark: SparkSession, sf_dir: str, table: str) -> loads.Load:
+    texts, stored = load_inputs(spark, sf_dir, table)
     rosters = None
     if table == "players":
         rosters = landing.parse_payloads(payloads.rosters(spark, sf_dir), "doc", landing.ROSTER_PAYLOAD)
-    return loads.load(documents, "doc", table, stored, rosters)
+    return loads.load(texts, "doc", table, stored, rosters)
 
 
 def merged_load(table: str) -> Build:
@@ -633,6 +638,30 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+def streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Schedule documents that land twice, some cut off, over a store that holds the rows with an even key."""
+    folder, landed = fresh_path(spark, "documents"), fresh_path(spark, "landed")
+    texts, stored = load_inputs(spark, sf_dir, "schedule")
+    VersionedTable.create(f"{folder}/{documents.TABLE}", stored, KEYS["schedule"])
+    for _ in range(2):
+        texts.write.mode("append").text(landed)
+        stream = documents.document_stream(spark, landed, one_per_file=False)
+        documents.load_stream(stream, "schedule", folder).awaitTermination()
+    return folder
+
+
+def streamed_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents.open_table(spark, streamed(spark, sf_dir), "schedule").read()
+    return rows.withColumn("has_id", F.col("id").isNotNull())
+
+
+def streamed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each batch what it read and kept, and the documents among its rejects."""
+    folder = streamed(spark, sf_dir)
+    rejects = documents.read_rejects(spark, folder).groupBy("batch").agg(F.count("content").alias("rejects"))
+    return documents.read_counts(spark, folder).join(rejects, "batch")
+
+
 _STORED_GAME = "game_pk % 11 = 3 AND game_pk % 2 = 0"
 add("L1_load_teams", merged_load("teams"),
     "team_id:i name:s team_code:s league_id:i division_name:s sport_id:i active:b",
@@ -640,14 +669,14 @@ add("L1_load_teams", merged_load("teams"),
       team_id % 3 = 0 OR active AS active) FROM raw_teams WHERE team_id % 11 <> 3
     UNION ALL SELECT * REPLACE ('stored' AS name) FROM raw_teams
     WHERE team_id % 11 = 3 AND team_id % 2 = 0""")
-add("L2_load_schedule", merged_load("schedule"),
-    """game_pk:i game_date:t season:i status_code:s status_detail:s home_team_id:i
-    scheduled_innings:i has_id:b""",
-    f"""SELECT *, true AS has_id FROM (
+_SCHEDULE_SPEC = """game_pk:i game_date:t season:i status_code:s status_detail:s home_team_id:i
+    scheduled_innings:i has_id:b"""
+_SCHEDULE_SQL = f"""SELECT *, true AS has_id FROM (
     SELECT * REPLACE (CASE WHEN game_pk % 3 = 0 THEN 7 ELSE 9 END AS scheduled_innings,
       {_LANDED_STATUS} AS status_code) FROM raw_schedule WHERE game_pk % 11 <> 3
     UNION ALL SELECT * REPLACE ('stored' AS status_detail) FROM raw_schedule
-    WHERE {_STORED_GAME})""")
+    WHERE {_STORED_GAME})"""
+add("L2_load_schedule", merged_load("schedule"), _SCHEDULE_SPEC, _SCHEDULE_SQL)
 add("L3_load_games", merged_load("games"),
     "game_pk:i game_date:t season:i status_code:s status_detail:s home_score:i innings:i",
     f"""SELECT * REPLACE ({_INNINGS_SQL} AS innings, {_LANDED_STATUS} AS status_code)
@@ -675,6 +704,13 @@ add("L4_load_counts", load_counts,
         _load_count_sql("batting_stats", "lineitem", "l_partkey", "l_linenumber <> 6"),
         _load_count_sql("pitching_stats", "lineitem", "(l_orderkey // 10)", "l_linenumber <> 6"),
     ]))
+add("L5_stream_schedule", streamed_schedule, _SCHEDULE_SPEC, _SCHEDULE_SQL)
+add("L6_stream_counts", streamed_counts,
+    "batch:i documents:i unreadable:i rows:i incomplete:i kept:i rejects:i",
+    """SELECT batch, count(*) AS documents, count(*) FILTER (game_pk % 11 = 3) AS unreadable,
+      count(*) FILTER (game_pk % 11 <> 3) AS rows, 0 AS incomplete,
+      count(*) FILTER (game_pk % 11 <> 3) AS kept, count(*) FILTER (game_pk % 11 = 3) AS rejects
+    FROM raw_schedule, (SELECT unnest([0, 1]) AS batch) GROUP BY batch""")
 
 
 def _texts(spark: SparkSession, sf_dir: str, text: Column, parsed: Callable) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sabermill.operators.merge import LOADED_AT, merge
 from sabermill.schemas import DEFAULTS, KEYS, raw_schema
+from sabermill.session import settle
 from sabermill.sources import landing
 
 ORDER = "_order"
@@ -30,6 +31,14 @@ SOURCES: dict[str, tuple[str, Callable[..., DataFrame]]] = {
 }
 
 
+@dataclass
+class Extract:
+    rows: DataFrame
+    unreadable: DataFrame
+    incomplete: DataFrame
+    counts: DataFrame
+
+
 @dataclass
 class Load:
     merged: DataFrame
@@ -52,6 +61,28 @@ def with_id(rows: DataFrame, table: str) -> DataFrame:
     return rows.withColumn("id", F.xxhash64(*KEYS[table]))
 
 
+def extract(parsed: DataFrame, table: str, rosters: DataFrame | None = None) -> Extract:
+    """Rows of parsed documents (``landing.parse_documents``, written before) that can be stored, and what can't."""
+    extra = [landing.first_roster_spots(rosters)] if table == "players" else []
+    rows = SOURCES[table][1](landing.readable(parsed), *extra)
+    lacks = reduce(or_, [F.col(c).isNull() for c in required_columns(table)], F.lit(False))
+    kept = with_id(rows.where(~lacks), table)
+    one = F.count(F.lit(1))
+    counts = (
+        parsed.agg(one.alias("documents"), F.count(landing.SOURCE).alias("unreadable"))
+        .crossJoin(rows.agg(one.alias("rows"), F.count_if(lacks).alias("incomplete")))
+        .withColumn("kept", F.col("rows") - F.col("incomplete"))
+    )
+    ordered = kept.withColumn(ORDER, F.struct(*sorted(kept.columns)))
+    return Extract(ordered, landing.unreadable(parsed), rows.where(lacks), counts)
+
+
+def merge_options(rows: DataFrame, table: str) -> dict:
+    """How extracted rows go into their table: of those with the same key the last by content counts."""
+    update = [c for c in rows.columns if c not in (*KEYS[table], "id", ORDER)]
+    return {"keys": KEYS[table], "order": ORDER, "update_columns": update, "defaults": DEFAULTS.get(table)}
+
+
 def load(
     documents: DataFrame,
     column: str,
@@ -61,25 +92,11 @@ def load(
 ) -> Load:
     """``documents`` merged into ``target``.
 
+    Documents are parsed and written once, here; the four frames of the result read what was written.
     Of rows with the same key the last by content counts, whatever order they arrive in.
     ``counts`` has one row: documents read and unreadable, rows flattened, incomplete and kept.
     """
-    schema, flatten = SOURCES[table]
-    payloads, unreadable = landing.split_payloads(documents, column, schema)
-    extra = [landing.first_roster_spots(rosters)] if table == "players" else []
-    rows = flatten(payloads, *extra)
-    lacks = reduce(or_, [F.col(c).isNull() for c in required_columns(table)], F.lit(False))
-    incomplete = rows.where(lacks)
-    kept = with_id(rows.where(~lacks), table)
-    ordered = kept.withColumn(ORDER, F.struct(*sorted(kept.columns)))
-    update = [c for c in kept.columns if c not in (*KEYS[table], "id")]
-    merged = merge(target, ordered, KEYS[table], ORDER, update, DEFAULTS.get(table))
-
-    one = F.count(F.lit(1))
-    counts = (
-        documents.agg(one.alias("documents"))
-        .crossJoin(unreadable.agg(one.alias("unreadable")))
-        .crossJoin(rows.agg(one.alias("rows"), F.count_if(lacks).alias("incomplete")))
-        .withColumn("kept", F.col("rows") - F.col("incomplete"))
-    )
-    return Load(merged, unreadable, incomplete, counts)
+    parsed = settle(landing.parse_documents(documents, column, SOURCES[table][0]), f"documents-{table}")
+    found = extract(parsed, table, rosters)
+    merged = merge(target, found.rows, **merge_options(found.rows, table))
+    return Load(merged, found.unreadable, found.incomplete, found.counts)

@@ -66,3 +66,9 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_out(df: DataFrame) -> DataFrame:
+    """Rows of a scan in as many partitions as tasks can run, where they come in fewer (one large file)."""
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)

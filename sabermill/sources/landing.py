@@ -88,7 +88,7 @@ def read_payloads(
 
 
 def read_documents(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    """Landed documents as text, with their file and their order in it, for ``split_payloads``."""
+    """Landed documents as text, with their file and their order in it, for ``parse_documents``."""
     texts = spark.read.text(path, wholetext=one_per_file)
     return texts.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("document"))
 
@@ -103,22 +103,35 @@ def parse_payloads(texts: DataFrame, column: str, schema: str) -> DataFrame:
     return texts.select(F.inline(F.array(parsed)))
 
 
-UNREADABLE = "_unreadable"
+UNREADABLE, SOURCE = "_unreadable", "_source"
 
 
-def split_payloads(texts: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """Readable payloads, and the rows of ``texts`` whose document is no JSON of that shape.
+def parse_documents(texts: DataFrame, column: str, schema: str) -> DataFrame:
+    """Payloads of all texts; an unreadable one keeps its row of ``texts`` in ``_source``, else that is NULL.
 
-    A document counts as readable if all of it could be taken; NULL is unreadable.
+    A document counts as readable if all of it could be taken; NULL is unreadable. Every text is
+    parsed once if this frame is written before its branches read it.
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE}
     known = f"{schema.strip()}, {UNREADABLE} STRING"
-    parsed = texts.where(F.col(column).isNotNull()).select(
-        F.inline(F.array(F.from_json(column, known, options)))
-    )
-    bad = F.from_json(column, known, options).getField(UNREADABLE).isNotNull()
-    rejects = texts.where(F.col(column).isNull() | bad)
-    return parsed.where(F.col(UNREADABLE).isNull()).drop(UNREADABLE), rejects
+    parsed = texts.select(F.struct("*").alias(SOURCE), F.inline(F.array(F.from_json(column, known, options))))
+    bad = F.col(UNREADABLE).isNotNull() | F.col(SOURCE).getField(column).isNull()
+    return parsed.withColumn(SOURCE, F.when(bad, F.col(SOURCE))).drop(UNREADABLE)
+
+
+def readable(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col(SOURCE).isNull()).drop(SOURCE)
+
+
+def unreadable(parsed: DataFrame) -> DataFrame:
+    """The rows of the texts that could not be parsed."""
+    return parsed.where(F.col(SOURCE).isNotNull()).select(f"{SOURCE}.*")
+
+
+def split_payloads(texts: DataFrame, column: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Both without a table between them: lazy, and each of the two frames parses the texts."""
+    parsed = parse_documents(texts, column, schema)
+    return readable(parsed), unreadable(parsed)
 
 
 def _select(df: DataFrame, table: str, columns: dict[str, Column]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from sabermill.operators.merge import LOADED_AT
 from sabermill.schemas import PITCH_KEY, raw_schema
+from sabermill.session import spread_out
 from sabermill.sources.pitches import pitch_rows
 
 SEASON = "game_year"
@@ -146,15 +147,6 @@ def store_batch(batch: DataFrame, batch_id: int, path: str, buckets: int = 64) -
         batch.unpersist()
 
 
-def _spread_out(landed: DataFrame) -> DataFrame:
-    """Landed rows in as many partitions as tasks can run, where they come in fewer (one large file).
-
-    Parsing is the dearest step: a double becomes a decimal by way of its digits, in 50 columns.
-    """
-    tasks = landed.sparkSession.sparkContext.defaultParallelism
-    return landed if landed.rdd.getNumPartitions() >= tasks else landed.repartition(tasks)
-
-
 def keyed_stream(pitches: DataFrame, path: str, buckets: int = 64) -> StreamingQuery:
     """Append only pitches that are not stored yet, however late or often they land.
 
@@ -166,7 +158,8 @@ def keyed_stream(pitches: DataFrame, path: str, buckets: int = 64) -> StreamingQ
     """
 
     def store(landed: DataFrame, number: int) -> None:
-        store_batch(pitch_rows(_spread_out(landed)), number, path, buckets)
+        # Parsing is the dearest step: a double becomes a decimal by way of its digits, in 50 columns.
+        store_batch(pitch_rows(spread_out(landed)), number, path, buckets)
 
     return (
         pitches.writeStream.foreachBatch(store)
