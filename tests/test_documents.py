@@ -120,3 +120,14 @@ def test_a_store_keeps_the_files_that_a_batch_does_not_touch(spark, tmp_path):
         assert len({r.f for r in held.collect()}) == min(number + 1, 2)
         assert number < 2 or set(before) & set(after)
     assert stored(spark, store) == [(1, "X"), (2, "F")]
+
+
+def test_players_of_a_batch_take_the_team_of_the_rosters(spark, tmp_path):
+    store = str(tmp_path / "store")
+    schema = "team_id int, team_order bigint, roster array<struct<person:struct<id:int>>>"
+    rosters = spark.createDataFrame([(4, 0, [((1,),)])], schema)
+    people = {"people": [{"id": 1, "fullName": "A"}, {"id": 2, "fullName": "B", "currentTeam": {"id": 9}}]}
+    batch = spark.createDataFrame([("a", json.dumps(people))], "file string, document string")
+    D.store_documents(batch, 0, "players", store, rosters)
+    got = D.open_table(spark, store, "players").read()
+    assert sorted((r.player_id, r.current_team_id) for r in got.collect()) == [(1, 4), (2, 9)]
