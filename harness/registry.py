@@ -15,7 +15,7 @@ from sabermill.plans import boards, intermediate, loads, suite
 from sabermill.plans.warehouse import MARTS, Warehouse
 from sabermill.schemas import DEFAULTS, KEYS, PITCH_KEY
 from sabermill.sources.versions import VersionedTable, export_version, load_chunks, read_export
-from sabermill.session import fresh_path
+from sabermill.session import fresh_path, tune
 from sabermill.sources import chunks, landing, pitches, tables
 from sabermill.streaming import documents, ingest
 
@@ -48,7 +48,7 @@ def shown(df: DataFrame, spec: str) -> DataFrame:
 
 def add(name: str, build: Build, spec: str, sql: str | None) -> None:
     assert name not in ENTRIES, name
-    ENTRIES[name] = Entry(lambda spark, sf: shown(build(spark, sf), spec), spec, sql)
+    ENTRIES[name] = Entry(lambda spark, sf: shown(build(tune(spark), sf), spec), spec, sql)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

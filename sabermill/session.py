@@ -16,11 +16,16 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles a generated method above 8,000 bytes of bytecode but interprets it for every row.
+    # Wide projections make such methods; with this limit Spark generates them in parts instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Call sites in error messages cost several driver round trips per column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
+# Of these, what decides how fast wide rows are and can be set while a session runs.
+TUNED = ["spark.sql.codegen.hugeMethodLimit"]
 
 
 def build_session(app: str, master: str | None = None, **extra: str) -> SparkSession:
@@ -32,6 +37,13 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session that ``build_session`` has not made its ``TUNED`` settings; they stay set, as frames are lazy."""
+    for key in TUNED:
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
+
 @lru_cache(maxsize=1)
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="sabermill-")
