@@ -1,6 +1,6 @@
 """What keeps figures from growing faster than the input."""
 
-from harness import registry
+from harness import payloads, registry
 from sabermill.session import SETTINGS, TUNED
 
 
@@ -16,3 +16,15 @@ def test_queries_tune_a_session_made_elsewhere(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_line_makes_its_statistics_once(spark):
+    spark.conf.set("spark.sql.maxPlanStringLength", str(1 << 24))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    plan = _plan(payloads.hitting_rest(spark, "/root/testdata/sf0.001"))
+    decimals = [c for c in payloads.HITTING_REST if payloads.places_of("batting_stats")[c]]
+    assert plan.count("lpad(") == len(decimals)
