@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -26,7 +27,7 @@ def value(name: str, floating: bool = False) -> Column:
     if floating:
         return n / F.lit(10.0 ** int(kind[1:] or 0)) if kind != "i" else n.cast("double")
     places = int(kind[1:] or 0)
-    return n if kind == "i" else (n.cast("decimal(10,0)") / F.lit(10**places)).cast(f"decimal(10,{places})")
+    return n if kind == "i" else (n.cast("decimal(10,0)") * F.lit(Decimal(1).scaleb(-places))).cast(f"decimal(10,{places})")
 
 
 def sql(name: str) -> str:

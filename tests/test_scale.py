@@ -1,6 +1,8 @@
 """What keeps figures from growing faster than the input."""
 
-from harness import payloads, registry
+from decimal import Decimal
+
+from harness import adapter, fillers, payloads, registry
 from sabermill.session import SETTINGS, TUNED
 
 
@@ -28,3 +30,14 @@ def test_a_line_makes_its_statistics_once(spark):
     plan = _plan(payloads.hitting_rest(spark, "/root/testdata/sf0.001"))
     decimals = [c for c in payloads.HITTING_REST if payloads.places_of("batting_stats")[c]]
     assert plan.count("lpad(") == len(decimals)
+
+
+def test_filled_in_pitch_values_are_not_divided(spark):
+    lines = adapter.table(spark, "/root/testdata/sf0.001", "lineitem")
+    kinds = [c for c, kind in fillers.KINDS.items() if kind[0] == "d"]
+    values = lines.select("l_partkey", *[fillers.value(c).alias(c) for c in kinds])
+    assert "/" not in _plan(values).split("Relation")[0]
+    for row in values.limit(50).collect():
+        for c in kinds:
+            n, places = (row.l_partkey * 3 + fillers.NUMBERS[c]) % 300, int(fillers.KINDS[c][1:])
+            assert row[c] == Decimal(n).scaleb(-places)
