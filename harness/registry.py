@@ -638,13 +638,17 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
+# Lines of a landed file: a compressed file is read by one task.
+_LANDED_LINES = 20000
+
+
 def streamed(spark: SparkSession, sf_dir: str) -> str:
     """Schedule documents that land twice, some cut off, over a store that holds the rows with an even key."""
     folder, landed = fresh_path(spark, "documents"), fresh_path(spark, "landed")
     texts, stored = load_inputs(spark, sf_dir, "schedule")
     VersionedTable.create(f"{folder}/{documents.TABLE}", stored, KEYS["schedule"])
     for _ in range(2):
-        texts.write.mode("append").text(landed)
+        texts.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", _LANDED_LINES).text(landed)
         stream = documents.document_stream(spark, landed, one_per_file=False)
         documents.load_stream(stream, "schedule", folder).awaitTermination()
     return folder

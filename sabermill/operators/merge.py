@@ -12,25 +12,29 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 LOADED_AT = "loaded_at"
 # Tells rows without a full key apart: 0 for rows with one, else a number of the row's own.
 ALONE = "_alone"
 
 
-def collapse(batch: DataFrame, keys: list[str], update: list[str], order: str) -> DataFrame:
+def collapse(batch: DataFrame, keys: list[str], update: list[str], order: str, order_is_row: bool = False) -> DataFrame:
     """One row per key: inserted columns from the first row, updated ones from the last.
 
-    First and last are aggregates, so the rows of a hot key combine before the shuffle.
+    First and last are aggregates, so the rows of a hot key combine before the shuffle. Where ``order``
+    is a struct of the row's own columns it is all that is shuffled, rather than the row beside it.
     """
     keys = [*keys, *([ALONE] if ALONE in batch.columns else [])]
     carried = [c for c in batch.columns if c not in (*keys, order)]
     inserted = [c for c in carried if c not in update]
     picks = []
     if inserted:
-        picks.append(F.min_by(F.struct(*inserted), order).alias("_first"))
+        first = F.min(order) if order_is_row else F.min_by(F.struct(*inserted), order)
+        picks.append(first.alias("_first"))
     if update:
-        picks.append(F.max_by(F.struct(*update), order).alias("_last"))
+        last = F.max(order) if order_is_row else F.max_by(F.struct(*update), order)
+        picks.append(last.alias("_last"))
     grouped = batch.groupBy(*keys)
     merged = grouped.agg(*picks) if picks else grouped.agg(F.lit(1).alias("_one"))
     source = {**{c: "_first" for c in inserted}, **{c: "_last" for c in update}}
@@ -44,11 +48,13 @@ def merge(
     order: str,
     update_columns: list[str] | None = None,
     defaults: dict | None = None,
+    order_is_row: bool = False,
 ) -> DataFrame:
     """The table after the batch; ``order`` numbers the batch rows and is not stored.
 
     ``update_columns`` defaults to every non-key column of the batch; an empty list keeps
-    existing rows as they are.
+    existing rows as they are. ``order_is_row`` says that ``order`` is a struct of all columns of the
+    batch under their names.
     """
     defaults = defaults or {}
     unknown = [c for c in batch.columns if c not in (*target.columns, order)]
@@ -68,7 +74,15 @@ def merge(
         own = (F.monotonically_increasing_id() + 1) * sign
         return F.when(has_key, F.lit(0).cast("bigint")).otherwise(own).alias(ALONE)
 
-    by_key = collapse(batch.select(*keys, *carried, order, alone(1)), keys, update, order)
+    # Keys as wide as the table's from the start: rows grouped by them lie as the join needs them.
+    kinds = {k: target.schema[k].dataType for k in keys}
+    whole = (T.ByteType, T.ShortType, T.IntegerType)
+    wide = [
+        F.col(k).cast(kinds[k]).alias(k)
+        if isinstance(kinds[k], T.LongType) and isinstance(batch.schema[k].dataType, whole) else F.col(k)
+        for k in keys
+    ]
+    by_key = collapse(batch.select(*wide, *carried, order, alone(1)), keys, update, order, order_is_row)
 
     def inserted(name: str, kind, value):
         if name == LOADED_AT:

@@ -80,7 +80,9 @@ def extract(parsed: DataFrame, table: str, rosters: DataFrame | None = None) ->
 def merge_options(rows: DataFrame, table: str) -> dict:
     """How extracted rows go into their table: of those with the same key the last by content counts."""
     update = [c for c in rows.columns if c not in (*KEYS[table], "id", ORDER)]
-    return {"keys": KEYS[table], "order": ORDER, "update_columns": update, "defaults": DEFAULTS.get(table)}
+    return {
+        "keys": KEYS[table], "order": ORDER, "update_columns": update, "defaults": DEFAULTS.get(table), "order_is_row": True,
+    }
 
 
 def load(

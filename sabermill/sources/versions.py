@@ -131,7 +131,7 @@ class VersionedTable:
 
     def merge(
         self, batch: DataFrame, keys: list[str], order: str, update_columns: list[str] | None = None,
-        defaults: dict | None = None, load: str | None = None,
+        defaults: dict | None = None, load: str | None = None, order_is_row: bool = False,
     ) -> bool:
         """A keyed merge that rewrites only the files that hold a key of the batch.
 
@@ -148,7 +148,7 @@ class VersionedTable:
             batch, touched = batch.join(known, keys, "left_anti"), []
         else:
             touched = self._holding(state, lambda rows: rows.join(asked, keys, "left_semi"))
-        merged = merge(self._frame(state, touched), batch, keys, order, update_columns, defaults)
+        merged = merge(self._frame(state, touched), batch, keys, order, update_columns, defaults, order_is_row)
         self._commit(number, state, touched, merged, load)
         return True
 
