@@ -128,23 +128,20 @@ def store_batch(batch: DataFrame, batch_id: int, path: str, buckets: int = 64) -
     spark = batch.sparkSession
     table = store_table(spark, path, batch.schema, buckets)
     buckets = _buckets(spark, path, buckets)
-    batch = batch.persist()  # parsed once, for its games and for its rows
-    try:
-        keyed = batch.where(_has_key())
-        games = keyed.agg(F.min(PITCH_KEY[0]), F.max(PITCH_KEY[0])).first()
-        near = F.col(PITCH_KEY[0]).between(*[F.lit(g) for g in games])
-        fresh = unseen(keyed, table.where((F.col(BATCH) < batch_id) & near))
-        # One task for each bucket, so that a batch has one file for each bucket and season.
-        fresh = fresh.repartition(buckets, *PITCH_KEY)
-        own = f"pitch_batch_{uuid.uuid4().hex}"
-        written = fresh.write.mode("overwrite").partitionBy(SEASON).bucketBy(buckets, *PITCH_KEY)
-        written.saveAsTable(own, path=f"{path}/{KEYED}/{BATCH}={batch_id}")
-        spark.sql(f"DROP TABLE {own}")  # the files stay, as buckets of the store
-        spread = F.pmod(F.xxhash64(*batch.columns), F.lit(SPREAD))
-        keyless = batch.where(~_has_key()).repartition(SEASON, spread)
-        keyless.write.mode("overwrite").partitionBy(SEASON).parquet(f"{path}/{KEYLESS}/{BATCH}={batch_id}")
-    finally:
-        batch.unpersist()
+    keyed = batch.where(_has_key())
+    # Reads the key and what makes a row complete; a batch that is kept for its rows would fill the executors' disks.
+    games = keyed.agg(F.min(PITCH_KEY[0]), F.max(PITCH_KEY[0])).first()
+    near = F.col(PITCH_KEY[0]).between(*[F.lit(g) for g in games])
+    fresh = unseen(keyed, table.where((F.col(BATCH) < batch_id) & near))
+    # One task for each bucket, so that a batch has one file for each bucket and season.
+    fresh = fresh.repartition(buckets, *PITCH_KEY)
+    own = f"pitch_batch_{uuid.uuid4().hex}"
+    written = fresh.write.mode("overwrite").partitionBy(SEASON).bucketBy(buckets, *PITCH_KEY)
+    written.saveAsTable(own, path=f"{path}/{KEYED}/{BATCH}={batch_id}")
+    spark.sql(f"DROP TABLE {own}")  # the files stay, as buckets of the store
+    spread = F.pmod(F.xxhash64(*batch.columns), F.lit(SPREAD))
+    keyless = batch.where(~_has_key()).repartition(SEASON, spread)
+    keyless.write.mode("overwrite").partitionBy(SEASON).parquet(f"{path}/{KEYLESS}/{BATCH}={batch_id}")
 
 
 def keyed_stream(pitches: DataFrame, path: str, buckets: int = 64) -> StreamingQuery:
