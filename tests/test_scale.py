@@ -2,8 +2,15 @@
 
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from harness import adapter, fillers, payloads, registry
-from sabermill.session import SETTINGS, TUNED
+from sabermill.operators.merge import merge
+from sabermill.schemas import PITCH_KEY
+from sabermill.session import SETTINGS, TUNED, fresh_path
+from sabermill.sources.pitches import pitch_rows
+from sabermill.streaming import documents, ingest
 
 
 def test_queries_tune_a_session_made_elsewhere(spark):
@@ -41,3 +48,35 @@ def test_filled_in_pitch_values_are_not_divided(spark):
         for c in kinds:
             n, places = (row.l_partkey * 3 + fillers.NUMBERS[c]) % 300, int(fillers.KINDS[c][1:])
             assert row[c] == Decimal(n).scaleb(-places)
+
+
+def test_a_merge_ordered_by_its_rows_shuffles_them_once(spark):
+    target = spark.createDataFrame([(1, "a", 5), (2, "b", 6)], "k long, v string, n int")
+    rows = spark.createDataFrame([(1, "x", None), (1, "y", 7), (3, "z", 8), (None, "w", 9), (None, "w", 9)], "k int, v string, n int")
+    batch = rows.withColumn("seq", F.struct("k", "n", "v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = merge(target, batch, ["k"], "seq", ["v"], order_is_row=True)
+        text = got._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 2 and "max_by" not in text
+        plain = merge(target, batch, ["k"], "seq", ["v"])
+        expected = [(1, "y", 5), (2, "b", 6), (3, "z", 8), (None, "w", 9), (None, "w", 9)]
+        for result in (got, plain):
+            assert sorted((tuple(r) for r in result.collect()), key=str) == sorted(expected, key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_landed_texts_of_a_stream_are_compressed(spark):
+    folder = registry.streamed(spark, "/root/testdata/sf0.001")
+    files = {r.file for r in documents.read_rejects(spark, folder).collect()}
+    assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_a_batch_of_pitches_is_not_cached(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda *a: pytest.fail("cached"))
+    lines = adapter.table(spark, "/root/testdata/sf0.001", "lineitem").limit(40)
+    rows = pitch_rows(payloads.landed_pitches(lines))
+    path = fresh_path(spark, "uncached")
+    ingest.store_batch(rows, 0, path, 2)
+    assert ingest.read_store(spark, path).count() == rows.dropDuplicates(PITCH_KEY).count()
