@@ -5,7 +5,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sabermill.llm.byte_bpe import encoder
+from sabermill.llm import byte_bpe
+from sabermill.llm.byte_bpe import ByteBpe, encoder
 from sabermill.llm.huffman import BLOCK, CHECKPOINT, Codec, canonical, code_lengths
 from sabermill.llm.token_counts import count_tokens
 from sabermill.llm.token_files import read_tokens, write_tokens
@@ -34,6 +35,26 @@ def test_ids_are_those_of_the_whole_text(library):
     assert counts == [len(library(t)) for t in TEXTS * 2]
 
 
+def test_pieces_are_cut_finely_and_encoded_once_for_many_batches(library, monkeypatch):
+    texts = ["one word, two.\nword\n \nWord's it'sword 12ab a<|endoftext|>b\x1c\nx é.\ny", "word. (word) word! one\n\ntwo", "|>a<|endoftext|>.\n"]
+    for special in (False, True):
+        plain = Tokenizer.from_file(PATH)
+        plain.encode_special_tokens = not special
+        bpe, asked = ByteBpe(PATH, special), []
+        through = bpe._library
+        monkeypatch.setattr(bpe, "_library", lambda some: asked.extend(some) or through(some))
+        wanted = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        for _ in range(3):
+            assert [ids.tolist() for _, some, n in bpe.encode(texts) for ids in np.split(some, np.cumsum(n)[:-1])] == wanted
+        assert "".join(asked).count(" word") == 1
+        assert "".join(asked).count("two") == 2  # " two", and "two" after a line feed
+        monkeypatch.setattr(byte_bpe, "_KNOWN_BYTES", 0)  # no room: what is seen is forgotten after each batch
+        for _ in range(2):
+            assert [ids.tolist() for _, some, n in bpe.encode(texts[::-1]) for ids in np.split(some, np.cumsum(n)[:-1])] == wanted[::-1]
+            assert len(bpe.known) == 0
+        monkeypatch.undo()
+
+
 def test_code_is_optimal_and_limited():
     counts = np.array([0, 1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89])
     free, tight = code_lengths(counts, 20), code_lengths(counts, 4)
