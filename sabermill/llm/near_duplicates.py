@@ -46,10 +46,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sabermill.llm.graph import components
-from sabermill.llm.tables import col, written
+from sabermill.llm.tables import col, stretches, written
 from sabermill.llm.word_windows import Words, mixed
 
-_BATCH_BYTES = 1 << 21
+_BATCH_BYTES = 1 << 20
 _CELLS = 1 << 20
 _BITS = 2048
 _SHORT = 11
@@ -187,10 +187,9 @@ def _sketches(docs: DataFrame, shingle: int, similarity: float, bands: int, samp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
             counts, keys, bits = [], [], []
-            for a, b in _stretches(texts):
-                for own in shingles_of(texts[a:b], shingle):
+            for (texts,) in stretches(_BATCH_BYTES, batch.column(2)):
+                for own in shingles_of(texts, shingle):
                     counts.append(len(own))
                     keys.append(np.concatenate([sketch(own, bands, sampled), short_keys(own, similarity)]) if len(own) else None)
                     bits.append(signature(own) if len(own) else None)
@@ -204,24 +203,17 @@ def _sketches(docs: DataFrame, shingle: int, similarity: float, bands: int, samp
     return rows.mapInArrow(run, schema)
 
 
-def _stretches(texts: list[str | None]) -> list[tuple[int, int]]:
-    sizes = np.cumsum([len(t or "") + 1 for t in texts]) // _BATCH_BYTES
-    begins = np.flatnonzero(np.diff(sizes, prepend=-1)).tolist()
-    return list(zip(begins, [*begins[1:], len(texts)][: len(begins)], strict=True))
-
-
 def _linked(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose texts align well enough."""
     both = pairs.select("a", "b").join(texts.toDF("a", "left"), "a").join(texts.toDF("b", "right"), "b").select("a", "b", "left", "right")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             good = []
-            for x, y in _stretches([a + b for a, b in zip(left, right, strict=True)]):
-                distinct = list(dict.fromkeys([*left[x:y], *right[x:y]]))
+            for left, right in stretches(_BATCH_BYTES, batch.column(2), batch.column(3)):
+                distinct = list(dict.fromkeys([*left, *right]))
                 cut = dict(zip(distinct, shingles_of(distinct, shingle), strict=True))
-                good += [similar(cut[a], cut[b], similarity) for a, b in zip(left[x:y], right[x:y], strict=True)]
+                good += [similar(cut[a], cut[b], similarity) for a, b in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.mapInArrow(run, "a long, b long")

@@ -31,11 +31,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sabermill.llm.tables import col
+from sabermill.llm.tables import col, stretches
 from sabermill.llm.word_windows import Words, mixed
 
 BITS = 18
-_BATCH_BYTES = 1 << 21
+_BATCH_BYTES = 1 << 19
 # Byte classes of shapes; other bytes stand for themselves.
 _CLASS = np.arange(256, dtype=np.uint64)
 _CLASS[ord("A") : ord("Z") + 1] = ord("X")
@@ -204,8 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, *, label_col: str = "quality", max
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            found = [f for a, b in _stretches(texts) for f in features(texts[a:b])]
+            found = [f for (texts,) in stretches(_BATCH_BYTES, batch.column(2)) for f in features(texts)]
             offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, np.int32), *found])))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], ["id", "y", "places"])
@@ -230,7 +229,8 @@ def score(docs: DataFrame, model: Model, *, threshold: float = 0.3, id_col: str
 
     @F.arrow_udf("double")
     def scores(texts: pa.Array) -> pa.Array:
-        return pa.array(sent.value.scores(texts.to_pylist()))
+        parts = [sent.value.scores(some) for (some,) in stretches(_BATCH_BYTES, texts)]
+        return pa.array(np.concatenate([np.empty(0), *parts]))
 
     done = docs.withColumns({"held_out": F.coalesce(fold_of(col(id_col)) == 0, F.lit(False)), "score": scores(col(text_col))})
     return done.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

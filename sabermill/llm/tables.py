@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +38,16 @@ def unbundle(df: DataFrame, source: DataFrame, *used: str) -> list[Column]:
     return [F.col("rest").getField(n).alias(n) for n in others(source, *used)]
 
 
+def stretches(bound: int, *columns: pa.Array) -> Iterator[list[list]]:
+    """Values of consecutive rows of about ``bound`` bytes of text, column by column; a batch is never held whole as Python texts."""
+    sizes = np.ones(len(columns[0]), np.int64)
+    for column in columns:
+        sizes += pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    begins = np.flatnonzero(np.diff(np.cumsum(sizes) // bound, prepend=-1)).tolist()
+    for a, b in zip(begins, [*begins[1:], len(sizes)], strict=False):
+        yield [column.slice(a, b - a).to_pylist() for column in columns]
+
+
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once to the shared folder with the writer's options, and read back."""
     path = fresh_path(df.sparkSession, name)
