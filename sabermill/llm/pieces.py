@@ -30,14 +30,18 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sabermill.llm.tables import col
+from sabermill.llm.tables import col, stretches
 
 _MARK = "▁"
-_PAIRS = 1 << 20
+# Pairs of pieces whose verdict a Python worker keeps (some 270 bytes each).
+_PAIRS = 1 << 18
 # Words whose ids a Python worker keeps from batch to batch, and their greatest length in characters.
 _WORDS, _WORD_CHARS = 1 << 18, 64
-# The words of so much text are held at once.
-_BATCH_BYTES = 24 << 20
+# The distinct words of so much text are held at once; the text itself is cut in parts.
+_BATCH_BYTES = 16 << 20
+_PART_BYTES = 1 << 20
+# Of so many words the ids are held as Python lists at once.
+_AT_ONCE = 1 << 15
 
 _loaded: dict[str, PieceModel] = {}
 
@@ -49,6 +53,23 @@ def model(path: str) -> PieceModel:
     return _loaded[path]
 
 
+def _cut(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, each with the spaces before it, and how many there are up to the end of each text."""
+    raws = [(" " + t.replace(_MARK, " ")).encode() if t else b"" for t in texts]
+    sizes = np.array([len(r) for r in raws], np.int64)
+    raw = np.frombuffer(b"".join(raws), np.uint8)
+    if not len(raw):
+        return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+    ends = np.cumsum(sizes)
+    space, feed = raw == 0x20, raw == 0x0A
+    begins = feed.copy()
+    begins[1:] |= (space[1:] & ~space[:-1]) | feed[:-1]
+    begins[(ends - sizes)[sizes > 0]] = True
+    starts = np.flatnonzero(begins)
+    cut = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int32)), pa.py_buffer(raw)])
+    return cut, np.searchsorted(starts, ends)
+
+
 class PieceModel:
     def __init__(self, path: str):
         import sentencepiece
@@ -152,60 +173,68 @@ class PieceModel:
             before = word
         return out
 
-    def ids_of(self, words: list[str], often: list[bool]) -> list[list[int]]:
-        """Ids of each of the distinct ``words``; those not met in earlier batches are sorted into a trie.
+    def ids_of(self, words: list[str], often: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct ``words``, where each word's begin and how many it has; words not met in earlier
+        batches are sorted into a trie.
 
         Words that are met ``often`` in a batch are kept for the next ones.
         """
         known = self.words
-        found = [known.get(w) for w in words]
-        new = sorted([i for i, f in enumerate(found) if f is None], key=words.__getitem__)
+        old = [i for i, w in enumerate(words) if w in known]
+        new = sorted([i for i, w in enumerate(words) if w not in known], key=words.__getitem__)
+        flat, lengths = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+
+        def add(found: list[list[int]]) -> None:
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flat.append(np.fromiter(chain.from_iterable(found), np.int32, int(lengths[-1].sum())))
+
+        for a in range(0, len(old), _AT_ONCE):
+            add([known[words[i]] for i in old[a : a + _AT_ONCE]])
+        if len(known) >= _WORDS:
+            known.clear()
         collects = gc.isenabled()
         gc.disable()  # very many small lists without a cycle
         try:
-            for i, ids in zip(new, self.segment([words[i] for i in new]), strict=True):
-                found[i] = ids
+            for a in range(0, len(new), _AT_ONCE):
+                some = new[a : a + _AT_ONCE]
+                found = self.segment([words[i] for i in some])
+                add(found)
+                for i, ids in zip(some[: max(0, _WORDS - a)], found, strict=False):
+                    if often[i] and len(words[i]) <= _WORD_CHARS:
+                        known[words[i]] = ids
         finally:
             if collects:
                 gc.enable()
-        if len(known) >= _WORDS:
-            known.clear()
-        for i in new[:_WORDS]:
-            if often[i] and len(words[i]) <= _WORD_CHARS:
-                known[words[i]] = found[i]
-        return found
+        order, sizes = np.array([*old, *new], np.int64), np.concatenate(lengths)
+        begins, own = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        begins[order], own[order] = np.cumsum(sizes) - sizes, sizes
+        return np.concatenate(flat), begins, own
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
-        raws = [(" " + t.replace(_MARK, " ")).encode() if t else b"" for t in texts]
-        sizes = np.array([len(r) for r in raws], np.int64)
-        raw = np.frombuffer(b"".join(raws), np.uint8)
-        if not len(raw):
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        cuts, ends = [], []
+        for (some,) in stretches(_PART_BYTES, texts):
+            cut, last = _cut(some)
+            cuts.append(cut)
+            ends.append(last)
+        if not any(map(len, cuts)):
             return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
-        ends = np.cumsum(sizes)
-        space, feed = raw == 0x20, raw == 0x0A
-        begins = feed.copy()
-        begins[1:] |= (space[1:] & ~space[:-1]) | feed[:-1]
-        begins[(ends - sizes)[sizes > 0]] = True
-        starts = np.flatnonzero(begins)
-        cut = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(raw)).astype(np.int32)), pa.py_buffer(raw)])
-        coded = pc.dictionary_encode(cut)
+        parts = np.cumsum([len(cut) for cut in cuts])[:-1]
+        coded = pc.dictionary_encode(pa.concat_arrays(cuts))
+        del cuts
         words = pc.replace_substring(coded.dictionary.cast(pa.string()), " ", _MARK).to_pylist()
         codes = coded.indices.to_numpy()
-        found = self.ids_of(words, (np.bincount(codes, minlength=len(words)) > 1).tolist())
-        lengths = np.array([len(f) for f in found], np.int64)
-        flat = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
-        first = np.cumsum(lengths) - lengths
-        own = lengths[codes]
-        running = np.concatenate([[0], np.cumsum(own)])
-        at = running[np.searchsorted(starts, ends)]
-        counts = np.diff(np.concatenate([[0], at]))
-        ids = np.empty(int(running[-1]), np.int32)
-        for a in range(0, len(codes), 1 << 18):
-            b = min(a + (1 << 18), len(codes))
-            part = own[a:b]
-            ids[running[a] : running[b]] = flat[np.repeat(first[codes[a:b]] - (running[a:b] - running[a]), part) + np.arange(part.sum())]
-        return ids, counts
+        del coded
+        flat, first, lengths = self.ids_of(words, (np.bincount(codes, minlength=len(words)) > 1).tolist())
+        del words
+        ids, counts = [], []
+        for part, last in zip(np.split(codes, parts), ends, strict=True):
+            own = lengths[part]
+            running = np.concatenate([[0], np.cumsum(own)])
+            ids.append(flat[np.repeat(first[part] - running[:-1], own) + np.arange(running[-1])])
+            counts.append(np.diff(running[last], prepend=0))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         out, at = [], np.concatenate([[0], np.cumsum(counts)])
@@ -224,7 +253,7 @@ def encoded(text: Column, path: str) -> Column:
         found = model(path)
         sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // _BATCH_BYTES
         begins = np.flatnonzero(np.diff(sizes, prepend=-1)).tolist()
-        parts = [found.encode(texts[a:b].to_pylist()) for a, b in zip(begins, [*begins[1:], len(texts)], strict=False)]
+        parts = [found.encode(texts[a:b]) for a, b in zip(begins, [*begins[1:], len(texts)], strict=False)]
         ids = np.concatenate([np.empty(0, np.int32), *[i for i, _ in parts]])
         ends = np.cumsum(np.concatenate([np.zeros(1, np.int64), *[n for _, n in parts]]))
         return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))

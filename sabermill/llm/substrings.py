@@ -18,6 +18,9 @@ The documents are shuffled once, by block; all three reads share that exchange.
 are combined inside each block before the shuffle, so a reducer gets at most one row for each block
 and window. Two windows are taken as equal if their 128-bit hashes are.
 
+A task holds one block's texts as Arrow data, and as Python texts and words only a stretch of ``_BATCH_BYTES``, so a
+block costs a Python worker a few times its bytes.
+
 Defined cases: null and empty texts have no words and stay as they are. Documents with a null id come
 first. Rows that share an id count as documents in the order of their texts, so of two identical rows the
 second one is emptied (if it has a window at all). Extra columns are carried along; those named like a
@@ -35,10 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sabermill.llm.tables import bundle, col, others, unbundle
+from sabermill.llm.tables import bundle, col, others, stretches, unbundle
 from sabermill.llm.word_windows import Words
 
-_BATCH_BYTES = 1 << 22
+# Texts of so many bytes are held as Python texts and cut into words at once.
+_BATCH_BYTES = 1 << 20
 _ZSTD = pa.Codec("zstd", 1)
 
 
@@ -61,29 +65,32 @@ def _runs(sorted_keys: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begins, [*begins[1:], len(sorted_keys)][: len(begins)], strict=True))
 
 
-def _batches(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
-    """(first position, texts) of stretches of about ``_BATCH_BYTES``."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= _BATCH_BYTES:
-            yield first, texts[first : i + 1]
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield first, texts[first:]
+def _texts(column: pa.Array | pa.ChunkedArray) -> Iterator[list[str | None]]:
+    """Values of a column, in stretches of about ``_BATCH_BYTES``."""
+    for chunk in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        for (some,) in stretches(_BATCH_BYTES, chunk):
+            yield some
 
 
-def _window_hashes(texts: list[str | None], window: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Two hashes of each window of the texts, and its first word's place among all their words."""
-    hashes, places, words_before = [[], []], [np.empty(0, np.int64)], 0
-    for _, some in _batches(texts):
+def _window_hashes(column: pa.Array | pa.ChunkedArray, window: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """By stretches: two hashes of each window of the texts, and its first word's place among all their words."""
+    words_before = 0
+    for some in _texts(column):
         words = Words(some)
         starts = words.window_starts(window)
-        for seed in (0, 1):
-            hashes[seed].append(words.windows(window, seed)[starts])
-        places.append(starts + words_before)
+        yield [words.windows(window, seed)[starts] for seed in (0, 1)], starts + words_before
         words_before += len(words.starts)
-    return [np.concatenate([np.empty(0, np.uint64), *h]) for h in hashes], np.concatenate(places)
+
+
+def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *parts])
+
+
+def _is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the values are among the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 def _in_order(rows: pa.Table) -> pa.Table:
@@ -129,26 +136,36 @@ def remove_repeats(
         for batch in batches:
             blocks = batch.column(0).to_numpy()
             for block in np.unique(blocks):
-                texts = batch.column(2).filter(pa.array(blocks == block)).to_pylist()
-                hashes, _ = _window_hashes(texts, window)
+                own = batch.column(2).filter(pa.array(blocks == block))
+                parts: list[list[np.ndarray]] = [[] for _ in range(depth)]
+                for hashes, _ in _window_hashes(own, window):
+                    for row in range(depth):
+                        parts[row].append((hashes[row] >> np.uint64(64 - cell_bits)).astype(np.int64))
                 out = []
                 for row in range(depth):
-                    cells, seen = np.unique(hashes[row] >> np.uint64(64 - cell_bits), return_counts=True)
-                    cells = cells.astype(np.int64)
+                    cells, parts[row] = _joined(parts[row], np.int64), []
+                    cells.sort()
+                    first = np.diff(cells, prepend=-1) != 0
+                    twice = ~np.append(first[1:], True)[first] if len(first) else first
+                    cells = cells[first]
                     for a, b in _runs(cells >> slice_bits):
                         number = cells[a] >> slice_bits
-                        out.append((row, int(number), int(block), _pack(cells[a:b] - (number << slice_bits)), np.packbits(seen[a:b] > 1).tobytes()))
+                        out.append((row, int(number), int(block), _pack(cells[a:b] - (number << slice_bits)), np.packbits(twice[a:b]).tobytes()))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["row", "slice", "block", "cells", "twice"])
 
     def merge(key: tuple, parts: pa.Table) -> pa.Table:
+        # One block's cells at a time, so they are unpacked twice.
         counts = np.zeros(1 << slice_bits, np.uint8)
-        cells = [_unpack(c) for c in parts["cells"].to_pylist()]
-        for own, twice in zip(cells, parts["twice"].to_pylist(), strict=True):
-            more = np.unpackbits(np.frombuffer(twice, np.uint8), count=len(own))
+        for packed, twice in zip(parts["cells"], parts["twice"], strict=True):
+            own = _unpack(packed.as_py())
+            more = np.unpackbits(np.frombuffer(twice.as_py(), np.uint8), count=len(own))
             counts[own] = np.minimum(counts[own] + 1 + more, 2)
         base = key[1].as_py() << slice_bits
-        hot = [_pack(own[counts[own] > 1] + base) for own in cells]
+        hot = []
+        for packed in parts["cells"]:
+            own = _unpack(packed.as_py())
+            hot.append(_pack(own[counts[own] > 1] + base))
         return pa.table({"block": parts["block"], "row": parts["row"], "cells": pa.array(hot, pa.binary())})
 
     merged = dealt.mapInArrow(sketch, "row int, slice long, block long, cells binary, twice binary")
@@ -156,15 +173,18 @@ def remove_repeats(
 
     def repeated(key: tuple, texts: pa.Table, cells: pa.Table) -> pa.Table:
         block = key[0].as_py()
-        hashes, places = _window_hashes(_in_order(texts.select(["id", "text"]))["text"].to_pylist(), window)
-        maybe = np.ones(len(places), bool)
-        rows, packed = cells["row"].to_numpy(), cells["cells"].to_pylist()
-        for row in range(depth):
-            hot = np.unique(np.concatenate([np.empty(0, np.int64), *[_unpack(packed[i]) for i in np.flatnonzero(rows == row)]]))
-            own = (hashes[row] >> np.uint64(64 - cell_bits)).astype(np.int64)
-            at = np.minimum(np.searchsorted(hot, own), max(0, len(hot) - 1))
-            maybe &= hot[at] == own if len(hot) else False
-        a, b, places = hashes[0][maybe], hashes[1][maybe], places[maybe]
+        rows, packed = cells["row"].to_numpy(), cells["cells"]
+        hot = [np.unique(_joined([_unpack(packed[i].as_py()) for i in np.flatnonzero(rows == row).tolist()], np.int64)) for row in range(depth)]
+        found: list[list[np.ndarray]] = [[], [], []]
+        for hashes, at in _window_hashes(_in_order(texts.select(["id", "text"]))["text"], window):
+            maybe = np.ones(len(at), bool)
+            for row in range(depth):
+                maybe &= _is_in((hashes[row] >> np.uint64(64 - cell_bits)).astype(np.int64), hot[row])
+            for kept, own in zip(found, (*hashes, at), strict=True):
+                kept.append(own[maybe])
+        del hot
+        a, b, places = (_joined(kept, kind) for kept, kind in zip(found, (np.uint64, np.uint64, np.int64), strict=True))
+        del found
         order = np.lexsort((places, b, a))
         a, b, places = a[order], b[order], places[order]
         first = np.append(True, (np.diff(a) != 0) | (np.diff(b) != 0))[: len(a)]
@@ -198,20 +218,25 @@ def remove_repeats(
 
     def remove(key: tuple, texts: pa.Table, places: pa.Table) -> pa.Table:
         texts = _in_order(texts)
-        values = texts["text"].to_pylist()
-        words = [(t or "").encode().split() for t in values]
-        counts = np.array([len(w) for w in words], np.int64)
-        ends = np.cumsum(counts)
-        cover = np.zeros(int(ends[-1]) + window + 1 if len(ends) else 1, np.int32)
-        for part in places["places"].to_pylist():
-            at = _unpack(part)
-            cover[at] += 1
-            cover[at + window] -= 1
-        keep = np.cumsum(cover)[: int(ends[-1]) if len(ends) else 0] == 0
-        removed = counts - np.add.reduceat(np.append(keep, False), np.minimum(ends - counts, len(keep))) * (counts > 0) if len(ends) else counts
-        for i in np.flatnonzero(removed):
-            values[i] = b" ".join(compress(words[i], keep[ends[i] - counts[i] : ends[i]].tolist())).decode()
-        return pa.table([texts["id"], pa.array(values, pa.string()), pa.array(counts), pa.array(removed), texts["rest"]], ["id", "text", "n_words", "n_removed", "rest"])
+        starts = np.sort(_joined([_unpack(part.as_py()) for part in places["places"]], np.int64))
+        values, counts, removed, before = [], [], [], 0
+        for some in _texts(texts["text"]):
+            for i, text in enumerate(some):
+                words = (text or "").encode().split()
+                a, b = np.searchsorted(starts, (before, before + len(words))).tolist() if len(starts) else (0, 0)
+                gone = 0
+                if a < b:
+                    cover = np.zeros(len(words) + 1, np.int32)
+                    np.add.at(cover, starts[a:b] - before, 1)
+                    np.add.at(cover, starts[a:b] - before + window, -1)
+                    keep = np.cumsum(cover[:-1]) == 0
+                    gone = len(words) - int(keep.sum())
+                    some[i] = b" ".join(compress(words, keep.tolist())).decode()
+                counts.append(len(words))
+                removed.append(gone)
+                before += len(words)
+            values.append(pa.array(some, pa.string()))
+        return pa.table([texts["id"], pa.chunked_array(values, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), texts["rest"]], ["id", "text", "n_words", "n_removed", "rest"])
 
     fields = [rows.schema["id"], rows.schema["text"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), rows.schema["rest"]]
     done = dealt.groupBy("block").cogroup(later.groupBy("block")).applyInArrow(remove, T.StructType(fields))

@@ -13,7 +13,7 @@ import numpy as np
 # The white space bytes that separate words.
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 # Odd multipliers; each seed has a base for bytes and one for words.
 _BASES = [
     (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93),
