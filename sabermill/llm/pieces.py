@@ -40,6 +40,8 @@ _WORDS, _WORD_CHARS = 1 << 18, 64
 # The distinct words of so much text are held at once; the text itself is cut in parts.
 _BATCH_BYTES = 16 << 20
 _PART_BYTES = 1 << 20
+# So many ids are decoded at once.
+_IDS = 1 << 18
 # Of so many words the ids are held as Python lists at once.
 _AT_ONCE = 1 << 15
 
@@ -267,12 +269,17 @@ def decoded(ids: Column, path: str) -> Column:
     @F.arrow_udf("string")
     def run(lists: pa.Array) -> pa.Array:
         counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+        flat, at = lists.flatten(), np.concatenate([[0], np.cumsum(counts)])
         found = model(path)
-        inside = (flat >= 0) & (flat < len(found.names))
         # Ids outside the model stand for a control piece, which has no surface.
         blank = next((i for i in range(len(found.names)) if found.surface[i].as_py() == b""), found.unknown)
-        return pa.array(found.decode(np.where(inside, flat, blank), counts), pa.string())
+        begins = np.flatnonzero(np.diff(at[1:] // _IDS, prepend=-1)).tolist()
+        parts = [pa.array([], pa.string())]
+        for a, b in zip(begins, [*begins[1:], len(counts)], strict=False):
+            own = flat.slice(at[a], at[b] - at[a]).fill_null(-1).to_numpy(zero_copy_only=False)
+            inside = (own >= 0) & (own < len(found.names))
+            parts.append(pa.array(found.decode(np.where(inside, own, blank), counts[a:b]), pa.string()))
+        return pa.concat_arrays(parts)
 
     return run(ids)
 
