@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager
+
 from pyspark.sql import DataFrame, SparkSession
 
+from sabermill.session import settings
+
+# A task keeps up to so many files open at once, each with a row group of this size in memory.
+OPEN_FILES, ROW_GROUP = 16, 32 << 20
+
+
+def many_files(spark: SparkSession) -> AbstractContextManager[None]:
+    """Tasks keep a file open for each partition that they meet, instead of sorting their rows by partition.
+
+    Rows beyond ``OPEN_FILES`` partitions of a task are sorted as before.
+    """
+    return settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
+
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Add rows; a rerun adds them again, as a plain insert does.
 
-    Rows are rebalanced by the partition column, so each partition gets few well-sized files;
-    adaptive execution splits a partition that holds much of the data over many tasks.
+    Each task writes the rows it has into a file for each partition it meets, so rows are neither shuffled
+    nor sorted: nothing but the table itself takes disk, and a partition that holds much of the
+    data lies with as many tasks as its rows come from.
     """
     if partition_by is None:
         df.write.mode("append").parquet(path)
         return
-    balanced = df.hint("rebalance", partition_by)
-    balanced.write.mode("append").partitionBy(partition_by).parquet(path)
+    with many_files(df.sparkSession):
+        written = df.write.mode("append").partitionBy(partition_by)
+        written.option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:

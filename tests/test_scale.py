@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harness import adapter, fillers, payloads, registry
+from sabermill.operators import sinks
 from sabermill.operators.merge import merge
 from sabermill.schemas import PITCH_KEY
 from sabermill.session import SETTINGS, TUNED, fresh_path
@@ -80,3 +81,29 @@ def test_a_batch_of_pitches_is_not_cached(spark, monkeypatch):
     path = fresh_path(spark, "uncached")
     ingest.store_batch(rows, 0, path, 2)
     assert ingest.read_store(spark, path).count() == rows.dropDuplicates(PITCH_KEY).count()
+
+
+def _plan_of_last_write(spark):
+    done = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return done.last().physicalPlanDescription()
+
+
+def test_an_append_neither_shuffles_nor_sorts_its_rows(spark):
+    rows = spark.range(4000, numPartitions=4).withColumn("season", F.when(F.col("id") % 5 != 0, F.col("id") % 3))
+    path = fresh_path(spark, "appended")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    for _ in range(2):
+        sinks.append(rows, path, "season")
+        plan = _plan_of_last_write(spark)
+        assert "InsertIntoHadoopFsRelation" in plan and "Exchange" not in plan and "Sort" not in plan
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    stored = spark.read.parquet(path)
+    expected = sorted([(r.id, r.season) for r in rows.collect()] * 2, key=str)
+    assert sorted([(r.id, r.season) for r in stored.collect()], key=str) == expected
+
+
+def test_an_append_to_more_partitions_than_a_task_has_files_open(spark):
+    rows = spark.range(3000, numPartitions=2).withColumn("day", F.col("id") % (3 * sinks.OPEN_FILES))
+    path = fresh_path(spark, "days")
+    sinks.append(rows, path, "day")
+    assert sorted((r.id, r.day) for r in spark.read.parquet(path).collect()) == [(r.id, r.day) for r in rows.collect()]
