@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sabermill.session import settings
 
 # A task keeps up to so many files open at once, each with a row group of this size in memory.
-OPEN_FILES, ROW_GROUP = 16, 32 << 20
+OPEN_FILES, ROW_GROUP = 32, 16 << 20
 
 
 def many_files(spark: SparkSession) -> AbstractContextManager[None]:
@@ -20,6 +20,13 @@ def many_files(spark: SparkSession) -> AbstractContextManager[None]:
     return settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
 
 
+def write_unsorted(df: DataFrame, path: str, mode: str, partition_by: str) -> None:
+    """Write partitions without a shuffle or a sort."""
+    with many_files(df.sparkSession):
+        written = df.write.mode(mode).partitionBy(partition_by)
+        written.option("parquet.block.size", ROW_GROUP).parquet(path)
+
+
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Add rows; a rerun adds them again, as a plain insert does.
 
@@ -30,9 +37,7 @@ def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     if partition_by is None:
         df.write.mode("append").parquet(path)
         return
-    with many_files(df.sparkSession):
-        written = df.write.mode("append").partitionBy(partition_by)
-        written.option("parquet.block.size", ROW_GROUP).parquet(path)
+    write_unsorted(df, path, "append", partition_by)
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:

@@ -95,6 +95,12 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def one_use(shuffle_partitions: int | None = None) -> dict[str, str]:
+    """For ``settings``: a job's shuffle files go when it ends, not when the driver collects its garbage."""
+    values = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+    return values | ({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {})
+
+
 def spread_out(df: DataFrame) -> DataFrame:
     """Rows of a scan in as many partitions as tasks can run, where they come in fewer (one large file)."""
     tasks = df.sparkSession.sparkContext.defaultParallelism

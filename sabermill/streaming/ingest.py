@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from sabermill.operators.merge import LOADED_AT
+from sabermill.operators.sinks import ROW_GROUP, many_files, write_unsorted
 from sabermill.schemas import PITCH_KEY, raw_schema
-from sabermill.session import spread_out
+from sabermill.session import one_use, settings, spread_out
 from sabermill.sources.pitches import pitch_rows
 
 SEASON = "game_year"
@@ -25,8 +26,10 @@ BATCH = "batch"
 # Folders of a keyed store: pitches with a full key, by buckets of it, and those without.
 KEYED, KEYLESS, BUCKETS = "keyed", "keyless", "_buckets"
 FIRST_BY = ["game_date", "batter", "pitcher"]
-# A season of a batch is written by up to so many tasks, into as many files.
+# A season of a streamed batch is written by up to so many tasks, into as many files.
 SPREAD = 8
+# A keyed batch is stored so many rows at a time, or in the most passes. Passes read a batch so often, so they are few.
+ROWS_AT_ONCE, MOST_PASSES = 32_000_000, 16
 
 
 def landed_stream(
@@ -119,29 +122,39 @@ def store_table(spark: SparkSession, path: str, rows: T.StructType, buckets: int
     return spark.table(name)
 
 
+def _passes(rows: int) -> int:
+    return min(max(1, -(-rows // ROWS_AT_ONCE)), MOST_PASSES)
+
+
 def store_batch(batch: DataFrame, batch_id: int, path: str, buckets: int = 64) -> None:
     """Add the pitches of a batch that the store at ``path`` lacks; a replay replaces what it added.
 
     All seasons of the store are searched, as a repeat may come with another season or with none, but
-    only games between the smallest and the largest of the batch: Parquet skips the others.
+    only games between the smallest and the largest of the batch: Parquet skips the others. A large batch is
+    stored in passes, each over a share of its keys, so that only a share of its rows lies shuffled and sorted
+    on the executors' disks. Each pass reads the batch again, but parses only its own rows whole.
     """
     spark = batch.sparkSession
     table = store_table(spark, path, batch.schema, buckets)
     buckets = _buckets(spark, path, buckets)
     keyed = batch.where(_has_key())
     # Reads the key and what makes a row complete; a batch that is kept for its rows would fill the executors' disks.
-    games = keyed.agg(F.min(PITCH_KEY[0]), F.max(PITCH_KEY[0])).first()
-    near = F.col(PITCH_KEY[0]).between(*[F.lit(g) for g in games])
-    fresh = unseen(keyed, table.where((F.col(BATCH) < batch_id) & near))
-    # One task for each bucket, so that a batch has one file for each bucket and season.
-    fresh = fresh.repartition(buckets, *PITCH_KEY)
+    games = F.col(PITCH_KEY[0])
+    n, *span = keyed.agg(F.count(F.lit(1)), F.min(games), F.max(games)).first()
+    stored = table.where((F.col(BATCH) < batch_id) & games.between(*[F.lit(g) for g in span]))
+    passes = _passes(n)
     own = f"pitch_batch_{uuid.uuid4().hex}"
-    written = fresh.write.mode("overwrite").partitionBy(SEASON).bucketBy(buckets, *PITCH_KEY)
-    written.saveAsTable(own, path=f"{path}/{KEYED}/{BATCH}={batch_id}")
+    for number in range(passes):
+        share = F.pmod(F.xxhash64(*PITCH_KEY), F.lit(passes)) == number if passes > 1 else F.lit(True)
+        fresh = unseen(keyed.where(share), stored.where(share))
+        # As many tasks as buckets: rows are shuffled once, the store isn't, and a bucket and season has one file of a pass.
+        with settings(spark, one_use(buckets)), many_files(spark):
+            written = fresh.write.mode("append" if number else "overwrite").option("parquet.block.size", ROW_GROUP)
+            written = written.partitionBy(SEASON).bucketBy(buckets, *PITCH_KEY)
+            written.saveAsTable(own, path=f"{path}/{KEYED}/{BATCH}={batch_id}")
     spark.sql(f"DROP TABLE {own}")  # the files stay, as buckets of the store
-    spread = F.pmod(F.xxhash64(*batch.columns), F.lit(SPREAD))
-    keyless = batch.where(~_has_key()).repartition(SEASON, spread)
-    keyless.write.mode("overwrite").partitionBy(SEASON).parquet(f"{path}/{KEYLESS}/{BATCH}={batch_id}")
+    with settings(spark, one_use()):
+        write_unsorted(batch.where(~_has_key()), f"{path}/{KEYLESS}/{BATCH}={batch_id}", "overwrite", SEASON)
 
 
 def keyed_stream(pitches: DataFrame, path: str, buckets: int = 64) -> StreamingQuery:

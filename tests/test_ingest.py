@@ -1,10 +1,12 @@
+import os
+import time
 from datetime import date
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from sabermill.session import fresh_path
+from sabermill.session import fresh_path, settings
 from sabermill.sources import pitches
 from sabermill.streaming import ingest
 
@@ -161,3 +163,61 @@ def test_the_batch_is_read_once(spark):
     stored = spark.createDataFrame([], batch.schema)
     text = ingest.unseen(batch, stored)._jdf.queryExecution().executedPlan().toString()
     assert text.count("FileScan") == 1
+
+
+@pytest.fixture
+def stored_plans(spark, monkeypatch):
+    """Plans of what is added to a keyed store, joined without a broadcast."""
+    plans, write = [], type(spark.range(1).write).saveAsTable
+
+    def watched(*args, **named):
+        with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+            write(*args, **named)
+        done = spark._jsparkSession.sharedState().statusStore().executionsList()
+        plans.append(done.last().physicalPlanDescription().split("Initial Plan")[0])
+
+    monkeypatch.setattr(type(spark.range(1).write), "saveAsTable", watched)
+    return plans
+
+
+def test_a_large_batch_is_stored_in_passes_that_add_up(spark, monkeypatch, stored_plans):
+    early = [pitch(float(i), 2.0) for i in range(0, 60, 3)]
+    rows = [pitch(float(i), float(i % 4), batter=float(b)) for i in range(60) for b in (9, 8, 7)]
+    rows += [pitch(float(i), 1.0, NAN) for i in range(10)]
+    monkeypatch.setattr(ingest, "MOST_PASSES", 3)
+    found = []
+    for at_once, passes in ((1000, 1), (10, 3)):
+        monkeypatch.setattr(ingest, "ROWS_AT_ONCE", at_once)
+        path = fresh_path(spark, "passes")
+        ingest.store_batch(pitches.pitch_rows(spark.createDataFrame(early, SCHEMA)), 0, path, 4)
+        before = len(stored_plans)
+        for _ in range(2):  # the second is a replay
+            ingest.store_batch(pitches.pitch_rows(spark.createDataFrame(rows, SCHEMA)), 1, path, 4)
+        assert len(stored_plans) - before == 2 * passes
+        store = ingest.read_store(spark, path).collect()
+        found.append(sorted(((r.game_pk, r.at_bat_number, r.pitch_number, r.batter, r.batch) for r in store), key=str))
+    known = [(i, 2, 1) for i in range(0, 60, 3)]
+    new = [k for k in ((i, i % 4, 1) for i in range(60)) if k not in known]
+    keyless = [(i, 1, None, 7, 1) for i in range(10)]
+    expected = sorted([(*k, 7, 0) for k in known] + [(*k, 7, 1) for k in new] + keyless, key=str)
+    assert found == [expected, expected]
+    assert [ingest._passes(n) for n in (0, 1, 10, 11, 30, 31, 10**9)] == [1, 1, 1, 2, 3, 3, 3]
+
+
+def test_a_batch_is_shuffled_once_and_its_shuffle_goes_with_it(spark, stored_plans):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffles():
+        return {f.split("_")[1] for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    path, before = fresh_path(spark, "once"), shuffles()
+    for number in range(2):
+        rows = spark.createDataFrame([pitch(float(i + number)) for i in range(50)] + [pitch(NAN)], SCHEMA)
+        ingest.store_batch(pitches.pitch_rows(rows), number, path, 6)
+    for plan in stored_plans:
+        assert plan.count("Exchange (") == 1 and "LeftAnti" in plan, plan
+    until = time.time() + 20
+    while len(shuffles() - before) > 2 and time.time() < until:
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 2  # the count of each batch
+    assert ingest.read_store(spark, path).count() == 53
